@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
@@ -26,4 +28,13 @@ def local_session(cpus: int = 8, shuffle_partitions: int = 8, app: str = "harrow
         builder = builder.config(key.replace("__", "."), value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    return carry(session)
+
+
+def carry(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this library from where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(x for x in (root, known.get("PYTHONPATH", "")) if x)
+    return spark
