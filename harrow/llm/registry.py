@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import decontamination, lm_scoring, ngram_join, packing, quality_model, quality_rules, substring_dedup, suffix_dedup
+from harrow.llm import decontamination, line_dedup, lm_scoring, ngram_join, packing, quality_model, quality_rules, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -51,7 +56,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_suffix_array_dedup, op3_benchmark_decontamination, op4_ngram_jaccard_join, op6_quality_classifier, op7_substring_dedup, op8_quality_rules, op9_lm_scoring, op10_packing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_suffix_array_dedup, op3_benchmark_decontamination, op4_ngram_jaccard_join, op6_quality_classifier, op7_substring_dedup, op8_quality_rules, op9_lm_scoring, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
