@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import decontamination, line_dedup, lm_scoring, ngram_join, packing, quality_model, quality_rules, substring_dedup, suffix_dedup
+from harrow.llm import decontamination, license_scan, line_dedup, lm_scoring, ngram_join, packing, quality_model, quality_rules, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,15 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"), n=3, percent=90).drop("node")
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` has no paths: source, hundred of ids and id stand for one, and a document with a licence of its own for its directory's licence file."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    place = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce(F.floor(F.col("doc_id") / 100).cast("string"), F.lit("null")), name)
+    files = _table(spark, sf_dir, "documents").select(place.alias("path"), "text")
+    found = license_scan.license_scan(files, is_license_file=lambda f: f["own_license"].isNotNull())
+    return found.select(F.expr("try_cast(regexp_extract(path, '[^/]*$', 0) as bigint)").alias("doc_id"), "own_license", "own_kind", "license", "license_source", "from_dir")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -56,7 +65,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_suffix_array_dedup, op3_benchmark_decontamination, op4_ngram_jaccard_join, op6_quality_classifier, op7_substring_dedup, op8_quality_rules, op9_lm_scoring, op10_packing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_suffix_array_dedup, op3_benchmark_decontamination, op4_ngram_jaccard_join, op5_license_scans, op6_quality_classifier, op7_substring_dedup, op8_quality_rules, op9_lm_scoring, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
