@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.functions import scalars
-from harrow.operators import coverage, flatten, planner, requests, state
+from harrow.operators import coverage, export, extract, flatten, planner, requests, state
 from harrow.plans.relations import relation, with_relations
+from harrow.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 WINDOW = 450
@@ -467,6 +469,60 @@ def total_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relation(spark, sf_dir, "d_records").select("id", scalars.total_results(F.expr(_LINKS)).alias("total"))
 
 
+@_query()
+def card_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through the card parser."""
+    return extract.card_rows(relation(spark, sf_dir, "d_records"))
+
+
+@_query("select id, trim(regexp_replace(replace(replace(replace(replace(raw_title, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) as title from d_records")
+def card_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of pages without meta tags and h1: the text of the title element."""
+    bare = relation(spark, sf_dir, "d_records").withColumn("html", F.concat(F.lit("<title>"), "raw_title", F.lit("</title>")))
+    return extract.card_rows(bare).select("id", F.coalesce("title", F.lit("")).alias("title"))
+
+
+@_query("select id, concat('s', fetched_at % 9) as topic, case when fetched_at % 5 = 0 then null else id || '.pdf' end as pdf from d_records where fetched_at % 7 <> 0")
+def marc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MARC records made of the pages: a seventh of them malformed, a fifth without a link."""
+    xml = """concat('<?xml version="1.0"?><marc:record xmlns:marc="http://m"><marc:leader>1</marc:leader><marc:datafield tag="650"><subfield code="a">s', fetched_at % 9,
+      '</subfield></marc:datafield>', case when fetched_at % 5 = 0 then '' else concat('<marc:datafield tag="856"><marc:subfield code="u">', id, '.pdf</marc:subfield></marc:datafield>') end,
+      case when fetched_at % 7 = 0 then '<broken' else '</marc:record>' end)"""
+    made = extract.marc_rows(relation(spark, sf_dir, "d_records").select("id", F.expr(xml).alias("xml")))
+    return made.filter("marc_error is null").select("id", F.get("marc_topics", F.lit(0)).alias("topic"), F.get("pdf_links", F.lit(0)).alias("pdf"))
+
+
+@_query("""select id, '{"access":true,"n":' || fetched_at || '}' as viewer from d_records""")
+def viewer_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.expr("""concat('{"access": true, "token": "t", "n": ', fetched_at, ', "viewer": {"a": 1}}')""")
+    return relation(spark, sf_dir, "d_records").select("id", extract.viewer_column(body).alias("viewer"))
+
+
+@_query("select id, 'v' || (fetched_at % 13) as lang from d_records")
+def facet_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = F.expr("""concat('<div data-id="lang" data-value=" v', fetched_at % 13, ' "></div><div data-id="lang" data-value=""></div><div data-id="other" data-value="x"></div>')""")
+    values = extract.facets_column(html, ["lang", "idlibrary"])
+    return relation(spark, sf_dir, "d_records").select("id", F.array_join(values["lang"], ",").alias("lang"))
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relation(spark, sf_dir, "d_record_json")
+
+
+@_query("select json as value from d_record_json")
+def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = f"{shared_folder(spark)}/jsonl-{uuid.uuid4().hex}"
+    export.jsonl_folder(_records(spark, sf_dir), at)
+    return spark.read.text(at)
+
+
+@_query("select id, json as record_json from d_record_json")
+def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = f"{shared_folder(spark)}/flat-{uuid.uuid4().hex}"
+    export.parquet(_records(spark, sf_dir), at)
+    return spark.read.parquet(at).select("id", "record_json")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

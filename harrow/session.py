@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +39,12 @@ def carry(spark: SparkSession) -> SparkSession:
     if root not in known.get("PYTHONPATH", "").split(os.pathsep):
         known["PYTHONPATH"] = os.pathsep.join(x for x in (root, known.get("PYTHONPATH", "")) if x)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints: the cluster's setting, or a local one where none is set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named:
+        named = getattr(spark, "_harrow_folder", None) or tempfile.mkdtemp(prefix="harrow-checkpoints-")
+        spark._harrow_folder = named
+    return named
