@@ -475,7 +475,7 @@ def card_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.card_rows(relation(spark, sf_dir, "d_records"))
 
 
-@_query("select id, trim(regexp_replace(replace(replace(replace(replace(raw_title, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) as title from d_records")
+@_query("""select id, trim(regexp_replace(replace(replace(replace(replace(raw_title, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) as title from d_records""")
 def card_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles of pages without meta tags and h1: the text of the title element."""
     bare = relation(spark, sf_dir, "d_records").withColumn("html", F.concat(F.lit("<title>"), "raw_title", F.lit("</title>")))
