@@ -9,6 +9,7 @@ bytes follow the distinct keys of the blocks.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +69,16 @@ def block_rows(table: pa.Table) -> tuple[np.ndarray, list[bytes], list[int]]:
     return ids[order], [texts[i] for i in order], order
 
 
+def slices(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``most`` bytes, so that arrays stay small whatever a block holds."""
+    a, size = 0, 0
+    for b, t in enumerate(texts, 1):
+        size += len(t)
+        if size >= most or b == len(texts):
+            yield a, b
+            a, size = b, 0
+
+
 def by_shard(key: np.ndarray, shards: int) -> list[tuple[int, np.ndarray]]:
     """Each shard that has keys, and where they are, in order."""
     shard = (key % U64(shards)).astype(np.int64)

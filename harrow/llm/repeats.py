@@ -31,47 +31,23 @@ The documents are shuffled once, by block; the plan reuses that exchange.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from harrow.llm.arrays import BASES, U64, mix, sorted_groups, spans_hash, window_minimum, windows_hash
+from harrow.llm.exchange import NULL_ID, SENT, block_rows, by_shard, in_blocks, n_blocks, pack, sent, slices, unpack
 from harrow.llm.textops import doc_bytes
 
 PER_TRIGGER = 16
 MARK = U64(0xFFFFFFFFFFFFFFFF)
-NULL_ID = -(1 << 63)
 KEEP, REMOVE, COMPARE, SINGLY = 0, 1, 2, 3
 _LESS = U64(24)
 
 
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays in one binary value, byte planes apart so that the shuffle's codec finds the zeros."""
-    out = [len(arrays).to_bytes(2, "little")]
-    for a in arrays:
-        a = np.ascontiguousarray(a)
-        out.append(a.dtype.char.encode() + len(a).to_bytes(8, "little"))
-        out.append(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if len(a) else b"")
-    return b"".join(out)
-
-
-def unpack(raw: bytes) -> list[np.ndarray]:
-    found, at = [], 2
-    for _ in range(int.from_bytes(raw[:2], "little")):
-        kind = np.dtype(chr(raw[at]))
-        n = int.from_bytes(raw[at + 1 : at + 9], "little")
-        at += 9
-        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
-        found.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind) if n else np.zeros(0, kind))
-        at += n * kind.itemsize
-    return found
-
-
 @dataclass(frozen=True)
 class Kind:
     """What a symbol is and how windows of ``k`` of them compare.
@@ -101,15 +77,6 @@ class Runs:
     phrase: np.ndarray
 
 
-def _slices(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    a, size = 0, 0
-    for b, t in enumerate(texts, 1):
-        size += len(t)
-        if size >= most or b == len(texts):
-            yield a, b
-            a, size = b, 0
-
-
 def _starts(at: np.ndarray, lengths: np.ndarray, k: int, n: int) -> np.ndarray:
     """Places of all windows that lie inside one text."""
     valid = np.zeros(n + 1, np.int32)
@@ -141,18 +108,9 @@ def runs_of(values: np.ndarray, at: np.ndarray, lengths: np.ndarray, kind: Kind)
     return Runs(row, start - at[row], count, trigger, phrase)
 
 
-def _block_rows(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
-    """Ids (null: the least) and texts in an order that does not depend on how the rows arrived."""
-    raw = table.column("text").cast(pa.large_binary()).to_pylist()
-    ids = table.column("id").fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-    texts = [t or b"" for t in raw]
-    order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))
-    return ids[order], [texts[i] for i in order]
-
-
 def _block_runs(ids: np.ndarray, texts: list[bytes], kind: Kind, seen: Callable[[Runs, np.ndarray, np.ndarray, np.ndarray], None] | None = None) -> Runs:
     parts = []
-    for a, b in _slices(texts):
+    for a, b in slices(texts):
         values, shipped, at, lengths = kind.symbols(texts[a:b])
         r = runs_of(values, at, lengths, kind)
         if seen:
@@ -195,33 +153,13 @@ def listed(e: Entries, ids: np.ndarray, r: Runs) -> tuple[np.ndarray, np.ndarray
     return trigger, phrase, doc, np.r_[told, np.full(len(over), -1, np.int64)]
 
 
-def _by_shard(trigger: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    shard = (trigger % U64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    return shard, order, sorted_groups(shard[order])
-
-
-_SENT = pa.schema([("to", pa.int64()), ("source", pa.int64()), ("payload", pa.binary())])
-SENT = "to long, source long, payload binary"
-
-
-def _sent(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT, strict=True)] if rows else [pa.array([], f.type) for f in _SENT], schema=_SENT)
-
-
 def _parse(kind: Kind, shards: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        ids, texts = _block_rows(table)
+        ids, texts, _ = block_rows(table)
         r = _block_runs(ids, texts, kind)
         trigger, phrase, doc, _ = listed(entries_of(r), ids, r)
-        shard, order, bounds = _by_shard(trigger, shards)
         block = table.column("block")[0].as_py()
-        out = []
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            pick = order[a:b]
-            if len(pick):
-                out.append((int(shard[pick[0]]), block, pack((trigger[pick] >> _LESS).astype(U64), phrase[pick], doc[pick])))
-        return _sent(out)
+        return sent([(shard, block, pack((trigger[pick] >> _LESS).astype(U64), phrase[pick], doc[pick])) for shard, pick in by_shard(trigger, shards)])
 
     return run
 
@@ -247,14 +185,14 @@ def _resolve(table: pa.Table) -> pa.Table:
     back = np.empty_like(code)
     back[order] = code
     shard, cuts = table.column("to")[0].as_py(), np.r_[0, np.cumsum(size)]
-    return _sent([(s.as_py(), shard, pack(back[a:b])) for s, a, b in zip(table.column("source"), cuts[:-1], cuts[1:], strict=True)])
+    return sent([(s.as_py(), shard, pack(back[a:b])) for s, a, b in zip(table.column("source"), cuts[:-1], cuts[1:], strict=True)])
 
 
 def _ship(kind: Kind, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return _sent([])
-        ids, texts = _block_rows(table)
+            return sent([])
+        ids, texts, _ = block_rows(table)
         block = table.column("block")[0].as_py()
         windows: list[np.ndarray] = []
 
@@ -266,12 +204,10 @@ def _ship(kind: Kind, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         r = _block_runs(ids, texts, kind, keep_windows)
         e = entries_of(r)
         trigger, _, _, index = listed(e, ids, r)
-        shard, order, bounds = _by_shard(trigger, shards)
         told = {s: unpack(p)[0] for s, p in zip(answers.column("source").to_pylist(), answers.column("payload").to_pylist(), strict=True)}
         code = np.zeros(len(trigger), np.uint8)
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            if b > a:
-                code[order[a:b]] = told[int(shard[order[a]])]
+        for shard, pick in by_shard(trigger, shards):
+            code[pick] = told[shard]
         by_entry = np.full(len(e.trigger), KEEP, np.uint8)
         by_entry[index[index >= 0]] = code[index >= 0]
         if (code == SINGLY).any():
@@ -282,8 +218,8 @@ def _ship(kind: Kind, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         later = (np.arange(len(of_run)) != first) if kind.by_place else (doc > doc[first])
         gone = (of_run == REMOVE) | (later & (of_run != SINGLY))
         sure = np.flatnonzero(gone)
-        slices = list(_slices(texts))
-        offsets = np.array([a for a, _ in slices] or [0])
+        cuts = list(slices(texts))
+        offsets = np.array([a for a, _ in cuts] or [0])
 
         def symbols(row: int, start: int, n: int) -> np.ndarray:
             i = int(np.searchsorted(offsets, row, "right")) - 1
@@ -298,13 +234,13 @@ def _ship(kind: Kind, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
         # Phrases to compare: the owner's text once, its answer for all runs of it that are not gone.
         waiting = np.flatnonzero((of_run == COMPARE) & ~gone)
-        sent = np.unique(e.of[waiting])
+        asked = np.unique(e.of[waiting])
         number = np.full(len(e.trigger), -1, np.int64)
-        number[sent] = np.arange(len(sent))
-        owner = e.owner[sent]
-        to = [(e.trigger[sent] % U64(shards)).astype(np.int64)]
+        number[asked] = np.arange(len(asked))
+        owner = e.owner[asked]
+        to = [(e.trigger[asked] % U64(shards)).astype(np.int64)]
         pieces = [symbols(r.row[o], r.start[o], r.count[o] + kind.k - 1) for o in owner]
-        lens, docs, places, numbers = [r.count[owner] + kind.k - 1], [doc[owner]], [r.start[owner]], [np.arange(len(sent))]
+        lens, docs, places, numbers = [r.count[owner] + kind.k - 1], [doc[owner]], [r.start[owner]], [np.arange(len(asked))]
         wait = [(number[e.of[waiting]], r.row[waiting], r.start[waiting], r.count[waiting])]
         # Hot triggers: each distinct window by itself.
         single = np.flatnonzero(of_run == SINGLY)
@@ -327,9 +263,9 @@ def _ship(kind: Kind, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             lens.append(np.full(len(lead), kind.k))
             docs.append(ids[row[lead]])
             places.append(start[lead])
-            numbers.append(np.arange(len(lead)) + len(sent))
+            numbers.append(np.arange(len(lead)) + len(asked))
             left = np.flatnonzero(~late)
-            wait.append((of[left] + len(sent), row[left], start[left], np.ones(len(left), np.int64)))
+            wait.append((of[left] + len(asked), row[left], start[left], np.ones(len(left), np.int64)))
         else:
             z = np.zeros(0, np.int64)
             more = (z, z, z)
@@ -343,7 +279,7 @@ def _ship(kind: Kind, shards: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 pick = by[a:b]
                 text = np.concatenate([pieces[i] for i in pick])
                 out.append((int(goes[pick[0]]), block, pack(lens[pick].astype(np.int32), docs[pick], places[pick].astype(np.int32), numbers[pick].astype(np.int32), text)))
-        return _sent(out)
+        return sent(out)
 
     return run
 
@@ -354,7 +290,7 @@ def _compare(kind: Kind) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         to, source, payload = table.column("to").to_pylist(), table.column("source").to_pylist(), table.column("payload").to_pylist()
         if to[0] < 0:  # what a block tells itself goes through
-            return _sent([(s, t, p) for t, s, p in zip(to, source, payload, strict=True)])
+            return sent([(s, t, p) for t, s, p in zip(to, source, payload, strict=True)])
         parts = [unpack(p) for p in payload]
         lens, docs, places, numbers = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in range(4))
         text = np.concatenate([p[4] for p in parts])
@@ -376,7 +312,7 @@ def _compare(kind: Kind) -> Callable[[pa.Table], pa.Table]:
             w = int(count[a : a + n].sum())
             out.append((s, to[0], pack(numbers[a : a + n].astype(np.int32), count[a : a + n].astype(np.int32), np.packbits(late[at : at + w]))))
             a, at = a + n, at + w
-        return _sent(out)
+        return sent(out)
 
     return run
 
@@ -439,11 +375,8 @@ def cut_repeats(
     A block holds ``block_bytes`` of text: by default a four-thousandth of all,
     but 2 MB at least and 64 MB at most.
     """
-    total = doc_bytes(docs, text) if total is None else total
-    size = block_bytes or min(max(total // 4000, 2 << 20), 64 << 20)
-    blocks = max(1, math.ceil(total / size))
-    own = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    own = own.withColumn("block", F.pmod(F.xxhash64(F.coalesce("id", F.lit(NULL_ID))), F.lit(blocks)))
+    blocks = n_blocks(doc_bytes(docs, text) if total is None else total, block_bytes)
+    own = in_blocks(docs, blocks, text, doc_id)
     told = own.groupBy("block").applyInArrow(_parse(kind, blocks), SENT)
     answers = told.groupBy("to").applyInArrow(_resolve, SENT)
     shipped = own.groupBy("block").cogroup(answers.groupBy("to")).applyInArrow(_ship(kind, blocks), SENT)
@@ -453,7 +386,7 @@ def cut_repeats(
     def last(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
-        ids, texts = _block_rows(table)
+        ids, texts, _ = block_rows(table)
         spans = spans_to_cut(replies, kind.k)
         made = [finish(t, spans.get(i, [])) for i, t in enumerate(texts)]
         shown = [None if i == NULL_ID else i for i in ids.tolist()]
