@@ -3,7 +3,8 @@
 1. ``quality_rules``: documents that the rules reject go.
 2. ``line_dedup``: of similar lines all but the first leave the texts.
 3. ``ngram_join``: of each group of near-duplicates (five-word n-grams, Jaccard
-   similarity of 0.8 or more) the document with the least id stays.
+   similarity of 0.8 or more) the document with the least id stays.  Candidates
+   must share a tenth of the signatures they may differ in (``share``).
 4. ``decontamination``: documents that hold a benchmark passage go.
 5. ``packing``: the documents left get length buckets and batches.
 
@@ -29,7 +30,7 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group; where an id is repeated, all its rows stay if any does."""
-    found = ngram_join.jaccard_components(docs, n=5, percent=80)
+    found = ngram_join.jaccard_components(docs, n=5, percent=80, share=0.1)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 

@@ -12,9 +12,9 @@ but one then agree; so the set emits, for each part, one signature for each
 choice of the piece left out.  Linked sets of a band share a signature without
 fail.  A set that can link with sets of the next band signs for that band too.
 
-Sets with equal content have one hash and are one node from the start.  Nodes
-with a signature in common are chained to the least of them (no pairs), the
-components of these chains are *candidate clusters*, and linked nodes always
+Sets with equal content have one hash and are one node from the start.  Signatures
+go to shards by hash, packed; nodes that share one are chained to the least of
+them (no pairs), the components of these chains are *candidate clusters*, and linked nodes always
 lie in one cluster.  Inside a cluster similarities are exact: small clusters go to
 one task; larger ones are dealt into blocks of ``MEMBERS`` nodes and every two
 blocks meet in a task, so memory is bounded and no link is lost.  A task counts
@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.llm.arrays import BASES, LOWER, U64, byte_values, chunks, joined, mix, sorted_groups, spans_hash, windows_hash, word_spans
+from harrow.llm.exchange import n_blocks, pack, unpack
 from harrow.llm.graph import components
-from harrow.llm.textops import settle
+from harrow.llm.textops import doc_bytes, settle
 
 FINE, MEMBERS = 2, 256
 _PART = U64(0xC2B2AE3D27D4EB4F)
@@ -129,20 +130,69 @@ def set_hash(s: Sets) -> np.ndarray:
     return mix(_sum64(row, mix(s.element ^ U64(0xA5A5A5A5)), len(s.size)) + s.size.astype(U64)).view(np.int64)
 
 
-def _signed(n: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _described(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Size and hash of every text's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in chunks(batch, "text"):
+                s = sets_of(texts, n)
+                yield pa.record_batch([batch.column("doc_id").slice(first, len(texts)), pa.array(s.size.astype(np.int64)), pa.array(set_hash(s))], names=["doc_id", "n_shingles", "node"])
+
+    return run
+
+
+def _signed(n: int, percent: int, shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Signatures for their shards: five bytes each, by node; a chance meeting of five bytes only adds a comparison."""
+
+    def told(signature: list[np.ndarray], node: list[np.ndarray]) -> pa.RecordBatch:
+        sig, who = np.concatenate(signature), np.concatenate(node)
+        shard = (sig % U64(shards)).astype(np.int64)
+        order = np.lexsort((who, shard))
+        rows = []
+        for a, b in zip((g := sorted_groups(shard[order]))[:-1], g[1:], strict=True):
+            pick = order[a:b]
+            runs = sorted_groups(who[pick])
+            high = (sig[pick] >> U64(24)).astype(U64)
+            rows.append((int(shard[pick[0]]), pack((high >> U64(8)).astype(np.uint32), (high & U64(255)).astype(np.uint8), who[pick][runs[:-1]], np.diff(runs).astype(np.uint32))))
+        return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["to", "payload"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signature, node, held = [], [], 0
+        for batch in batches:
+            for _, texts in chunks(batch, "text"):
                 s = sets_of(texts, n)
                 sig, of = signatures(s, percent)
-                order = np.argsort(of, kind="stable")
-                cuts = np.searchsorted(of[order], np.arange(len(texts) + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(sig[order].view(np.int64)))
-                yield pa.record_batch([batch.column("doc_id").slice(first, len(texts)), pa.array(s.size.astype(np.int64)), pa.array(set_hash(s)), lists], names=["doc_id", "n_shingles", "node", "signatures"])
+                signature.append(sig)
+                node.append(set_hash(s)[of])
+                held += len(sig)
+                if held > 1 << 21:
+                    yield told(signature, node)
+                    signature, node, held = [], [], 0
+        if held:
+            yield told(signature, node)
 
     return run
 
 
+def _meet(table: pa.Table) -> pa.Table:
+    """Nodes that share signatures, each with the least of them and the one before it, and how often they met."""
+    parts = [unpack(p.as_py()) for p in table.column("payload")]
+    sig = np.concatenate([(p[0].astype(U64) << U64(8)) | p[1] for p in parts])
+    node = np.concatenate([np.repeat(p[2], p[3]) for p in parts])
+    order = np.lexsort((node, sig))
+    sig, node = sig[order], node[order]
+    new = np.ones(len(sig), bool)
+    new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+    sig, node = sig[new], node[new]
+    g = sorted_groups(sig)
+    least, before = np.repeat(node[g[:-1]], np.diff(g)), np.r_[node[:1], node[:-1]]
+    star, chain = node != least, (node != least) & (before != least)
+    pairs = np.concatenate([np.stack([node[star], least[star]]), np.stack([node[chain], before[chain]])], axis=1)
+    pairs, met = np.unique(pairs, axis=1, return_counts=True) if pairs.shape[1] else (pairs, np.zeros(0, np.int64))
+    return pa.table({"node": pairs[0], "least": pairs[1], "met": met.astype(np.int64)})
+
+
 def forest(texts: list[bytes], nodes: np.ndarray, n: int, percent: int) -> list[tuple[int, int]]:
     """Links that connect what exact similarities connect among these texts."""
     s = sets_of(texts, n)
@@ -200,14 +250,25 @@ def _verify(n: int, percent: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, node (the set's hash) and component_id (least id that links reach) of every row."""
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id", share: float = 0.0) -> DataFrame:
+    """doc_id, n_shingles, node (the set's hash) and component_id (least id that links reach) of every row.
+
+    ``share``: at 0 any common signature makes a candidate and no link is lost.
+    Above 0 candidates must meet in that share of the differences they may have:
+    sets at the limit agree in more than a third of their signatures, so 0.1
+    loses next to none, and keeps texts with a few passages in common out of one
+    another's clusters.
+    """
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = settle(own.mapInArrow(_signed(n, percent), "doc_id long, n_shingles long, node long, signatures array<long>"))
-    rows = signed.select("doc_id", "n_shingles", "node")
-    by_signature = signed.select(F.explode("signatures").alias("s"), "node").repartition("s").dropDuplicates(["s", "node"])
-    chained = by_signature.groupBy("s").agg(F.min("node").alias("least"), F.count("*").alias("c")).filter("c > 1")
-    edges = by_signature.join(chained, "s").filter("node > least").select("node", "least").distinct()
+    rows = settle(own.mapInArrow(_described(n), "doc_id long, n_shingles long, node long"))
+    shards = n_blocks(doc_bytes(docs, text))
+    signed = own.select("text").mapInArrow(_signed(n, percent, shards), "to long, payload binary")
+    edges = signed.groupBy("to").applyInArrow(_meet, "node long, least long, met long")
+    if share:
+        sizes = rows.groupBy("node").agg(F.max("n_shingles").alias("size"))
+        need = F.col("size") * (share * 2 * (100 - percent) / (100 + percent))
+        edges = edges.groupBy("node", "least").agg(F.sum("met").alias("met")).join(sizes, "node").filter(F.col("met") >= need)
+    edges = edges.select("node", "least").distinct()
     clusters = components(edges, "node", "least")
     sized = clusters.join(clusters.groupBy("component").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks")), "component")
     who = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
