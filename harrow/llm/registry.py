@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harrow.llm import decontamination, license_scan, line_dedup, lm_scoring, ngram_join, packing, quality_model, quality_rules, substring_dedup, suffix_dedup
+from harrow.llm import decontamination, license_scan, line_dedup, lm_scoring, ngram_join, oracles, packing, quality_model, quality_rules, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,4 +69,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.ORACLES)
