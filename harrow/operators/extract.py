@@ -318,6 +318,7 @@ def viewer_column(body: Column) -> Column:
     return _batched(lambda t: _viewer_or_error(t)["viewer"], "string")(body)
 
 
+# Where a card, its MARC export and its viewer answer are.
 URLS = {
     "card": "/catalog/{id}/",
     "marc": "/local/components/exalead/search.page.detail/ajax/marcExport.php?book_id={id}",
