@@ -198,6 +198,38 @@ def test_line_dedup(spark, docs, rows):
     assert not any("Python" in p or "Pandas" in p or "Arrow" in p for p in line_dedup.line_dedup(docs)._jdf.queryExecution().toString().split("\n"))
 
 
+def phrase_lines():
+    """Pairs of near copies that all have most of a line in common with dissimilar lines."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 7)))
+    phrase, out = " ".join(word() for _ in range(24)), []
+    for _ in range(300):
+        tail = [word() for _ in range(10)]
+        out += [f"{phrase} {' '.join(tail)}", f"{phrase} {' '.join(tail[:8])} {word()} {word()}"]
+    return out
+
+
+def test_lines_that_share_a_band_all_meet(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MEMBERS", 64)  # the larger bands are dealt into blocks
+    docs = spark.createDataFrame(list(enumerate(phrase_lines())), SCHEMA)
+    line = line_dedup.bare(docs["text"])
+    rows = docs.select(line_dedup.node_of(docs["text"]).alias("node"), line_dedup.shingles(line).alias("s"), line_dedup.band_keys(line).alias("b")).collect()
+    parent = {r.node: r.node for r in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets, bands = {r.node: set(r.s) for r in rows}, {r.node: set(r.b) for r in rows}
+    for a, b in itertools.combinations(parent, 2):
+        if bands[a] & bands[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            parent[find(a)] = find(b)
+    got = {r.node: r.component for r in line_dedup.similar_lines(docs, 80, "text", "doc_id").collect()}
+    same = lambda of: {frozenset(n for n in parent if of(n) == c) for c in {of(n) for n in parent}}
+    assert same(lambda n: got.get(n, n)) == same(find)
+
+
 def test_decontamination(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("ab cd ef gh ij kl".split()) for _ in range(rng.randint(1, 4)))
