@@ -25,7 +25,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(docs)
+    return line_dedup.dedup_lines(docs, every=True)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

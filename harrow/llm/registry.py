@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    cut = line_dedup.line_dedup(_table(spark, sf_dir, "documents"), every=True)
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -21,6 +21,7 @@ from harrow.llm import (
     packing,
     quality_model,
     quality_rules,
+    registry,
     substring_dedup,
     suffix_dedup,
 )
@@ -242,6 +243,19 @@ def test_similar_lines_share_a_band(spark):
     assert sum(not set(r.a) & set(r.b) for r in found) <= 8  # of 6,000 modelled pairs sixteen minima miss 7, twelve 61
 
 
+def test_the_query_takes_shingles_at_every_character(spark, tmp_path):
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    near = " ".join(word() for _ in range(16))
+    apart = ["- 2024-01-15 12:30:00", "- 2024-01-16 12:30:00", "thintionble onwh.", "thintionble$$$ onwh.", "id 1234567890123", "id 1234567899999", "\U0001f600" * 9, "\U0001f601" * 9]
+    texts = [*apart, near, near[:20] + "#" + near[21:], "a  b\tc", "a b c", "z" * 30, "z" * 90]
+    spark.createDataFrame(list(enumerate(texts)), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    sets = [{t[k : k + 9] for k in range(max(1, len(t) - 8))} for t in (re.sub("[\x20\x09-\x0d]+", " ", x) for x in texts)]
+    gone = {b for a, b in itertools.combinations(range(len(texts)), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert gone == {9, 11, 13}
+    assert {r.doc_id for r in registry.op1_line_dedup(spark, str(tmp_path)).collect() if r.n_removed} == gone
+
+
 def test_decontamination(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("ab cd ef gh ij kl".split()) for _ in range(rng.randint(1, 4)))
