@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,14 @@ def doc_bytes(docs: DataFrame, text: str = "text") -> int:
     return int(docs.agg(F.sum(F.octet_length(F.col(text)).cast("long"))).first()[0] or 0)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table of its own in the shared folder: narrower than a checkpoint, and columns are read one by one."""
+    spark = df.sparkSession
+    path = os.path.join(shared_folder(spark), "harrow", f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
