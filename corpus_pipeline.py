@@ -1,7 +1,8 @@
 """A training-corpus pipeline over ``documents``: five stages, each on all that the one before kept.
 
 1. ``quality_rules``: documents that the rules reject go.
-2. ``line_dedup``: of similar lines all but the first leave the texts.
+2. ``line_dedup``: of similar lines all but the first leave the texts; documents
+   that lose lines and keep no word go.
 3. ``ngram_join``: of each group of near-duplicates (five-word n-grams, Jaccard
    similarity of 0.8 or more) the document with the least id stays.  Candidates
    must share a tenth of the signatures they may differ in (``share``).
@@ -25,7 +26,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(docs, every=True)
+    return line_dedup.dedup_lines(docs, drop_emptied=True)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
