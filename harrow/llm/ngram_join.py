@@ -7,21 +7,37 @@ are the classes that links reach.
 Signatures.  Sizes are cut into bands.  In a band whose sets have at most r
 elements, linked sets differ in at most k = 2 r (100 - percent) / (100 + percent)
 elements.  The domain of elements is split by hash into n1 parts so that one of
-them has at most one difference, and each part into ``FINE`` pieces of which all
-but one then agree; so the set emits, for each part, one signature for each
-choice of the piece left out.  Linked sets of a band share a signature without
-fail.  A set that can link with sets of the next band signs for that band too.
+them has at most one difference, and each part into pieces (two, or three below 85
+percent) of which all but one then agree; so the set emits, for each part, one
+signature for each choice of the piece left out.  Linked sets of a band share a
+signature without fail.  A set that can link with sets of the next band signs for
+that band too.
 
 Sets with equal content have one hash and are one node from the start.  Signatures
-go to shards by hash, packed; nodes that share one are chained to the least of
-them (no pairs), the components of these chains are *candidate clusters*, and linked nodes always
-lie in one cluster.  Inside a cluster similarities are exact: small clusters go to
-one task; larger ones are dealt into blocks of ``MEMBERS`` nodes and every two
-blocks meet in a task, so memory is bounded and no link is lost.  A task counts
-common elements with matrix products and returns a spanning forest of its links.
+go to shards by hash, packed; a shard lists the groups of nodes that share one,
+groups of the same nodes once.
+
+Candidates.  A set's *bins* count its elements in ``BINS`` classes of their hash.
+The bins of two sets differ by no more than the sets do, so a pair whose bins or
+sizes differ by more than a link allows is no link; this rules out nearly all that
+met by chance, and nothing else.
+
+Verification, exact, of pairs and never of whole groups:
+
+1. In every group each node is paired with the first node, or, where bins rule that
+   out, with the one before it.  Pairs are verified once, on their sets of hashes,
+   and union-find joins what is linked.
+2. Nodes of a group that are then in different components are compared by size and
+   bins, in blocks of ``MEMBERS`` so that a large group is dealt among tasks; what
+   passes is verified and union-find joins again.  So every two linked sets are
+   verified or already in one component, and no link is lost.
+
+A group of m nodes, none linked, costs m^2 / 2 comparisons of bins in step 2; a
+family of m variants costs about m verifications.
 
 Edge cases: texts without words (null, empty) have empty sets and link with
-nothing.  A text of fewer than n words is one n-gram.  A null id is no smallest
+nothing.  A text of fewer than n words is one n-gram.  Very long texts are single
+rows with a set of their own size.  A null id is no smallest
 id of a component unless all its ids are null.  Repeated rows give repeated
 rows.  An empty table gives an empty result.  Extra columns do not matter.
 """
@@ -39,9 +55,9 @@ from pyspark.sql import functions as F
 from harrow.llm.arrays import BASES, LOWER, U64, byte_values, chunks, joined, mix, sorted_groups, spans_hash, windows_hash, word_spans
 from harrow.llm.exchange import n_blocks, pack, unpack
 from harrow.llm.graph import components
-from harrow.llm.textops import doc_bytes, settle
+from harrow.llm.textops import doc_bytes, settle, written
 
-FINE, MEMBERS = 2, 256
+MEMBERS, BINS = 256, 64
 _PART = U64(0xC2B2AE3D27D4EB4F)
 
 
@@ -93,17 +109,22 @@ def bands(percent: int, most: int) -> np.ndarray:
     return np.array(ends)
 
 
+def pieces(percent: int) -> int:
+    """Pieces of a part: more where a part holds few elements, so that what agrees is seldom empty."""
+    return 2 if percent >= 85 else 3
+
+
 def signatures(s: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of all sets, and the text of each."""
-    size = s.size
+    size, fine_most = s.size, pieces(percent)
     ends = bands(percent, int(size.max(initial=1)) * 2)
     band = np.searchsorted(ends, size)
     full = np.flatnonzero(size)
     up = full[100 * size[full] >= percent * (ends[band[full]] + 1)]
     text, own = np.r_[full, up], np.r_[band[full], band[up] + 1]
     limit = 2 * ends[own] * (100 - percent) // (100 + percent)
-    parts = np.where(limit == 0, 1, (limit + FINE) // 2)
-    fine = np.where(limit == 0, 1, FINE)
+    parts = np.where(limit == 0, 1, (limit + 2) // 2)
+    fine = np.where(limit == 0, 1, fine_most)
     # One slot for each part and piece of each (text, band).
     slots = np.cumsum(parts * fine) - parts * fine
     n = size[text]
@@ -119,7 +140,7 @@ def signatures(s: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
     part, left_out = inside // fine[who], inside % fine[who]
     single = fine[who] == 1
     first = slots[who] + part * fine[who]
-    kept = sum((np.where((left_out != j) & ~single, piece[np.minimum(first + j, total - 1)], U64(0)) for j in range(FINE)), np.zeros(total, U64))
+    kept = sum((np.where((left_out != j) & ~single, piece[np.minimum(first + j, total - 1)], U64(0)) for j in range(fine_most)), np.zeros(total, U64))
     kept = np.where(single, piece, kept)
     label = (own[who].astype(U64) << U64(40)) + (part.astype(U64) << U64(4)) + left_out.astype(U64)
     return mix(kept + mix(label + U64(77))), text[who]
@@ -130,14 +151,28 @@ def set_hash(s: Sets) -> np.ndarray:
     return mix(_sum64(row, mix(s.element ^ U64(0xA5A5A5A5)), len(s.size)) + s.size.astype(U64)).view(np.int64)
 
 
+def bins_of(s: Sets) -> np.ndarray:
+    """Elements of each set by class of their hash, 255 at most."""
+    row = np.repeat(np.arange(len(s.size)), s.size)
+    count = np.bincount(row * BINS + (mix(s.element + U64(3)) % U64(BINS)).astype(np.int64), minlength=len(s.size) * BINS)
+    return np.minimum(count, 255).astype(np.uint8).reshape(-1, BINS)
+
+
+def _fixed(rows: np.ndarray) -> pa.Array:
+    """Rows of bytes as binary values."""
+    n, width = rows.shape
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
 def _described(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Size and hash of every text's set."""
+    """Size, hash and bins of every text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in chunks(batch, "text"):
                 s = sets_of(texts, n)
-                yield pa.record_batch([batch.column("doc_id").slice(first, len(texts)), pa.array(s.size.astype(np.int64)), pa.array(set_hash(s))], names=["doc_id", "n_shingles", "node"])
+                same = [batch.column(c).slice(first, len(texts)) for c in ("doc_id", "content")]
+                yield pa.record_batch([*same, pa.array(s.size.astype(np.int64)), pa.array(set_hash(s)), _fixed(bins_of(s))], names=["doc_id", "content", "n_shingles", "node", "bins"])
 
     return run
 
@@ -176,7 +211,7 @@ def _signed(n: int, percent: int, shards: int) -> Callable[[Iterator[pa.RecordBa
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Nodes that share signatures, each with the least of them and the one before it, and how often they met."""
+    """Groups of nodes that share a signature: each node with the first of them and the one before it."""
     parts = [unpack(p.as_py()) for p in table.column("payload")]
     sig = np.concatenate([(p[0].astype(U64) << U64(8)) | p[1] for p in parts])
     node = np.concatenate([np.repeat(p[2], p[3]) for p in parts])
@@ -186,99 +221,114 @@ def _meet(table: pa.Table) -> pa.Table:
     new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
     sig, node = sig[new], node[new]
     g = sorted_groups(sig)
-    least, before = np.repeat(node[g[:-1]], np.diff(g)), np.r_[node[:1], node[:-1]]
-    star, chain = node != least, (node != least) & (before != least)
-    pairs = np.concatenate([np.stack([node[star], least[star]]), np.stack([node[chain], before[chain]])], axis=1)
-    pairs, met = np.unique(pairs, axis=1, return_counts=True) if pairs.shape[1] else (pairs, np.zeros(0, np.int64))
-    return pa.table({"node": pairs[0], "least": pairs[1], "met": met.astype(np.int64)})
-
-
-def forest(texts: list[bytes], nodes: np.ndarray, n: int, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what exact similarities connect among these texts."""
-    s = sets_of(texts, n)
-    m, size = len(texts), s.size
-    row = np.repeat(np.arange(m), size)
-    element, column = np.unique(s.element, return_inverse=True)
-    shared = np.bincount(column, minlength=len(element)) > 1
-    renumber = np.cumsum(shared) - 1
-    keep = shared[column]
-    row, column = row[keep], renumber[column[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    common = np.zeros((m, m), np.float32)
-    width = max(1, (8 << 20) // max(m, 1))
-    for a in range(0, int(shared.sum()), width):
-        lo, hi = np.searchsorted(column, (a, a + width))
-        dense = np.zeros((m, width), np.float32)
-        dense[row[lo:hi], column[lo:hi] - a] = 1
-        common += dense @ dense.T
-    both = common.astype(np.int64)
-    linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-    linked &= (size > 0)[:, None] & (size > 0)[None, :]
-    np.fill_diagonal(linked, True)
-    label = np.arange(m)
-    while True:  # each node takes the least label around it
-        least = np.where(linked, label[None, :], m).min(1)
-        least = np.minimum(least, least[least])
-        if (least == label).all():
-            break
-        label = least
-    # label holds the least member; walk links breadth-first for a forest of real links
-    out, reached = [], np.zeros(m, bool)
-    for root in np.unique(label):
-        reached[root], front = True, [root]
-        while front:
-            x = front.pop()
-            for y in np.flatnonzero(linked[x] & ~reached):
-                reached[y] = True
-                front.append(y)
-                out.append((int(nodes[x]), int(nodes[y])))
-    return out
-
-
-def _verify(n: int, percent: int) -> Callable[[pa.Table], pa.Table]:
-    def run(table: pa.Table) -> pa.Table:
-        texts = [x or b"" for x in table.column("text").cast(pa.large_binary()).to_pylist()]
-        nodes = table.column("node").to_numpy()
-        own = set_hash(sets_of(texts, n))
-        ok = np.flatnonzero(own == nodes)  # a repeated id may bring another text
-        _, first = np.unique(nodes[ok], return_index=True)
-        pick = ok[first]
-        links = forest([texts[i] for i in pick], nodes[pick], n, percent)
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+    size = np.diff(g)
+    # Groups of the same nodes say the same.
+    key = mix(_sum64(np.repeat(np.arange(len(size)), size), mix(node.view(U64)), len(size)) + size.astype(U64))
+    _, pick = np.unique(key, return_index=True)
+    pick = np.sort(pick[size[pick] > 1])
+    of = np.repeat(np.arange(len(pick)), size[pick])
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(size[pick]) - size[pick], size[pick])
+    at = g[pick][of] + nth
+    band = mix(sig[g[pick]] ^ U64(table.column("to")[0].as_py()) << U64(40)).view(np.int64)
+    return pa.table({"band": band[of], "node": node[at], "first": node[at - nth], "before": node[np.maximum(at - 1, at - nth)]})
+
+
+def _like(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs whose sizes and bins allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = {c: batch.column(c) for c in batch.schema.names}
+            bins = {c: np.frombuffer(b"".join(column[c].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("bins", "its")}
+            a, b = column["size"].to_numpy(), column["of_size"].to_numpy()
+            apart = np.abs(bins["bins"] - bins["its"]).sum(1)
+            ok = ((100 + percent) * apart <= (100 - percent) * (a + b)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+            yield batch.select(["node", "other"]).filter(pa.array(ok))
+
+    return run
+
+
+def _linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs whose sets are similar; both sets come sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column("set"), batch.column("other_set"), strict=True)):
+                a, b = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
+                both = np.concatenate((a, b))
+                both.sort(kind="stable")  # a merge of two runs
+                common = int((both[1:] == both[:-1]).sum())
+                ok[i] = 100 * common >= percent * (len(both) - common)
+            yield batch.select(["node", "other"]).filter(pa.array(ok))
+
+    return run
+
+
+def _sets(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = batch.column("node").to_numpy()
+            for first, texts in chunks(batch, "text"):
+                s = sets_of(texts, n)
+                own = set_hash(s)
+                ok = np.flatnonzero(own == node[first : first + len(texts)])  # equal hashes of texts may hide another text
+                yield pa.record_batch([pa.array(own[ok]), pa.array([s.element[s.at[i] : s.at[i + 1]].tobytes() for i in ok], pa.binary())], names=["node", "set"])
 
     return run
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id", share: float = 0.0) -> DataFrame:
-    """doc_id, n_shingles, node (the set's hash) and component_id (least id that links reach) of every row.
+def _unlinked(met: DataFrame, found: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of one group that are in different components and whose sizes and bins allow a link.
 
-    ``share``: at 0 any common signature makes a candidate and no link is lost.
-    Above 0 candidates must meet in that share of the differences they may have:
-    sets at the limit agree in more than a third of their signatures, so 0.1
-    loses next to none, and keeps texts with a few passages in common out of one
-    another's clusters.
+    Groups of more than ``MEMBERS`` nodes are dealt into blocks, and every two blocks meet in a task.
     """
+    rooted = met.select("band", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sized = rooted.groupBy("band").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    member = settle(rooted.join(sized.select("band", "blocks"), "band").join(known.select("node", "size", "bins"), "node"))
+    placed = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o"))
+    x = dealt.filter("block = i").select("band", "i", "j", "node", "component", "size", "bins")
+    y = dealt.filter("block = j").select("band", "i", "j", F.col("node").alias("other"), F.col("component").alias("of"), F.col("size").alias("of_size"), F.col("bins").alias("its"))
+    apart = (F.col("component") != F.col("of")) & (100 * F.least("size", "of_size") >= percent * F.greatest("size", "of_size"))
+    pairs = x.join(y, ["band", "i", "j"]).filter(apart & ((F.col("i") < F.col("j")) | (F.col("node") > F.col("other"))))
+    near = pairs.select("node", "other", "size", "of_size", "bins", "its").mapInArrow(_like(percent), "node long, other long")
+    return near.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")).distinct()
+
+
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, node (the set's hash) and component_id (least id that links reach) of every row."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = settle(own.mapInArrow(_described(n), "doc_id long, n_shingles long, node long"))
+    described = own.withColumn("content", F.xxhash64("text")).mapInArrow(_described(n), "doc_id long, content long, n_shingles long, node long, bins binary")
+    rows = written(described)
     shards = n_blocks(doc_bytes(docs, text))
     signed = own.select("text").mapInArrow(_signed(n, percent, shards), "to long, payload binary")
-    edges = signed.groupBy("to").applyInArrow(_meet, "node long, least long, met long")
-    if share:
-        sizes = rows.groupBy("node").agg(F.max("n_shingles").alias("size"))
-        need = F.col("size") * (share * 2 * (100 - percent) / (100 + percent))
-        edges = edges.groupBy("node", "least").agg(F.sum("met").alias("met")).join(sizes, "node").filter(F.col("met") >= need)
-    edges = edges.select("node", "least").distinct()
-    clusters = components(edges, "node", "least")
-    sized = clusters.join(clusters.groupBy("component").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks")), "component")
-    who = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    member = settle(sized.join(who, "node").withColumn("block", F.pmod("node", F.col("blocks")).cast("int")))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = member.withColumn("o", other).select("doc_id", "node", "component", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
-    met = own.join(dealt, own["doc_id"].eqNullSafe(dealt["doc_id"])).select(own["text"], "node", "component", "i", "j")
-    links = met.groupBy("component", "i", "j").applyInArrow(_verify(n, percent), "a long, b long")
-    found = components(links, "a", "b").withColumnRenamed("component", "root")
-    rooted = rows.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    met = written(signed.groupBy("to").applyInArrow(_meet, "band long, node long, first long, before long"))
+    sought = met.select("node").distinct()
+    # One row a node: its size and bins, and one document that holds it.
+    known = written(rows.groupBy("node").agg(F.max("n_shingles").alias("size"), F.max("bins").alias("bins"), F.min(F.struct("doc_id", "content")).alias("holder")).join(sought, "node", "left_semi"))
+    its = known.select(F.col("node").alias("other"), F.col("size").alias("of_size"), F.col("bins").alias("its"))
+    holder = known.select("node", F.col("holder.doc_id").alias("held_id"), F.col("holder.content").alias("held"))
+    met_text = own.join(holder, own["doc_id"].eqNullSafe(holder["held_id"]) & (F.xxhash64(own["text"]) == holder["held"]))
+    sets = written(met_text.select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(n), "node long, set binary"))
+
+    def like(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(known.select("node", "size", "bins"), "node").join(its, "other")
+        return both.select("node", "other", "size", "of_size", "bins", "its").mapInArrow(_like(percent), "node long, other long")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("other"), F.col("set").alias("other_set")), "other")
+        return both.select("node", "other", "set", "other_set").mapInArrow(_linked(percent), "node long, other long")
+
+    first = settle(like(met.select("node", F.col("first").alias("other")).filter("node <> other").distinct()))
+    passed = first.select(F.col("node"), F.col("other").alias("first"), F.lit(True).alias("passed"))
+    rest = met.filter("node <> before and before <> first").join(passed, ["node", "first"], "left").filter("passed is null")
+    second = like(rest.select("node", F.col("before").alias("other")).distinct())
+    found = components(linked(first.unionAll(second).distinct()), "node", "other")
+    more = settle(_unlinked(met, found, known, percent))
+    if not more.isEmpty():
+        found = components(found.select("node", F.col("component").alias("other")).unionAll(linked(more)), "node", "other")
+    rooted = rows.drop("bins", "content").join(found.withColumnRenamed("component", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("least_id"))
     out = rooted.join(least, "root")
     return out.select("doc_id", "n_shingles", "node", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least_id")).alias("component_id"))
