@@ -33,7 +33,7 @@ def first_detail(value: Column, label: str) -> Column:
 
 def records_view(records: DataFrame) -> DataFrame:
     """id, texts, lists as JSON and first details of every record; empty strings stay."""
-    v = F.parse_json(F.col("json"))
+    v = F.try_parse_json(F.col("json"))
     detail = lambda label: F.get_json_object("json", f"$.metadata.detail_map['{label}'][0]")
     at = lambda path: F.get_json_object("json", path)
     return records.select(

@@ -126,7 +126,23 @@ def shard_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.flagged(_shards(spark, sf_dir), WINDOW).select("search_key", coverage.flags_text().alias("flags"))
 
 
-@_query()
+_LABEL = """('q="' || json_extract_string({0}, '$.query') || '" catalog=' || json_extract_string({0}, '$.catalogs[0]') || ' access=open'
+    || coalesce(' year=' || json_extract_string({0}, '$.publishyear_prev'), '')
+    || coalesce(' sort=' || json_extract_string({0}, '$.sort_by') || ':' || json_extract_string({0}, '$.order'), '')
+    || case when {0} like '%"lang"%' then ' extra=lang=xx,z=1' else ' extra=z=1' end)"""
+_SOME = "coalesce('Some(' || {0} || ')', 'None')"
+
+
+@_query(
+    f"""with {_GROUPS}, labelled as (select *, {_LABEL.format('params_json')} as label from flagged),
+    grouped as (select g.*, {_LABEL.format('g.group_key')} as label from groups g)
+    select '  ' || search_key || ' | ' || label || ' | pages=' || pages || ' done=' || done_pages || ' pending=' || pending_pages || ' in_progress=' || in_progress_pages || ' failed=' || failed_pages
+      || ' discovered=' || discovered || ' unique=' || unique_items || ' total=' || {_SOME.format('total')} || ' missing=' || coalesce(missing, 0) || ' max_done_page=' || {_SOME.format('max_done_page')}
+      || coalesce(' flags=' || nullif(concat_ws(',', case when unfinished then 'unfinished' end, case when gap then 'gap' end, case when window_limited then 'window-limit' end), ''), '') as line
+    from labelled
+    union all select '  ' || group_key || ' | ' || label || ' | shards=' || shard_count || ' unfinished=' || unfinished_shards || ' unique=' || unique_items
+      || ' total=' || {_SOME.format('total')} || ' missing=' || coalesce(missing, 0) || ' keys=' || search_keys from grouped"""
+)
 def coverage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, members = _pages(spark, sf_dir)
     shards = coverage.shard_coverage(pages, members)
@@ -386,9 +402,36 @@ def facet_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planner.facet_variants(plain, _facet_values(spark), coverage.FACETS, 2)
 
 
-@_query()
+_FNV = """lower(lpad(printf('%x', list_reduce(list_prepend(14695981039346656037::hugeint, list_transform(string_split(params_json, ''), lambda c: ord(c)::hugeint)),
+      lambda h, c: (xor((h)::ubigint, c::ubigint)::hugeint * 1099511628211) % 18446744073709551616)::ubigint), 16, '0'))"""
+_KNOWN_YEAR = "1903"
+
+
+@_query(
+    f"""with {_SORT_VARIANTS}, narrowed as (
+      select search_key as source, 'year ' || year || ' auto overflow facet ' || case when params_json like '%[["lang"%' then 'lang=xx z=1 ' else 'z=1 ' end || f || '=' || v as label,
+        replace(regexp_replace(params_json, '"sort_by":(null|"[^"]*"),"order":(null|"[^"]*")', '"sort_by":null,"order":null'), ']]}}', '],["' || f || '","' || v || '"]]}}') as params_json
+      from over, (values ('lang', 'ru'), ('lang', 'en'), ('idlibrary', '7')) t(f, v) where year = '{_KNOWN_YEAR}' and params_json not like '%"' || f || '"%'),
+    jobs as (select {_FNV} as search_key, * from (select * from variants where label not like 'year {_KNOWN_YEAR} %' union all select * from narrowed) j)
+    select search_key, j.label as label, j.source as source, j.params_json as params_json from (
+      select search_key, min(struct_pack(label := label, source := source, params_json := params_json)) as j from jobs group by search_key) x"""
+)
 def overflow_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return planner.overflow_jobs(*_pages(spark, sf_dir), _facet_values(spark), planner.PlannerConfig(shard_years=True, window_limit=WINDOW))
+    """Sortings for overflowing shards; facets for those of one year, whose sortings are all planned already."""
+    planned = planner.sort_variants(_overflowing(spark, sf_dir).filter(F.col("year") == _KNOWN_YEAR), planner.DEFAULT_SORTS)
+    known = planned.select(scalars.fnv1a64(F.col("params_json")).alias("search_key"))
+    return planner.overflow_jobs(*_pages(spark, sf_dir), _facet_values(spark), planner.PlannerConfig(shard_years=True, window_limit=WINDOW), known)
+
+
+@_query(
+    f"""with {_GROUPS} select group_key, shard_count, unfinished_shards, total, unique_items, missing, gap, search_keys from groups
+      where group_key = (select {_KEY} from d_search_pages where search_key = 'k000003' limit 1)"""
+)
+def group_of_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of one search's parameters, over all shards."""
+    pages, members = _pages(spark, sf_dir)
+    target = pages.filter("search_key = 'k000003'").select("params_json").first()[0]
+    return coverage.group_for(coverage.shard_coverage(pages, members), members, target).select("group_key", "shard_count", "unfinished_shards", "total", "unique_items", "missing", "gap", "search_keys")
 
 
 @_query(

@@ -26,6 +26,7 @@ select concat('item-', lpad(cast(o_orderkey as string), 12, '0')) as id,
        1700000000 + (o_orderkey * 7919) % 86400 as updated_at
 from orders"""
 
+# Searches of the years 1903 and 1907 are finished and found more than they show, so they overflow.
 D_SEARCH_PAGES = """
 select concat('k', lpad(cast(sk as string), 6, '0')) as search_key,
        pg + 1 as page,
@@ -37,13 +38,14 @@ select concat('k', lpad(cast(sk as string), 6, '0')) as search_key,
                    when sk % 4 = 2 then ',"sort_by":"document_titlesort","order":"desc"'
                    else ',"sort_by":null,"order":null' end,
               case when sk % 4 = 3 then ',"extra":[["lang","xx"],["z","1"]]}' else ',"extra":[["z","1"]]}' end) as params_json,
-       case when (sk + pg) % 19 = 0 and sk % 3 = 0 then 'failed'
+       case when sk % 25 in (3, 7) then 'done'
+            when (sk + pg) % 19 = 0 and sk % 3 = 0 then 'failed'
             when (sk + pg) % 23 = 0 and sk % 5 = 0 then 'pending'
             else 'done' end as status,
        (sk + pg) % 6 as attempts,
        case when pg = 19 then 0 else n end as result_count,
        case when pg = 19 and sk % 2 = 0 then null else 400 + sk % 300 + pg % 3 + case when sk % 25 in (3, 7, 24) then 50000 else 0 end end as total_results,
-       case when (sk + pg) % 19 = 0 and sk % 3 = 0 then 'search page HTTP 403' else null end as last_error,
+       case when (sk + pg) % 19 = 0 and sk % 3 = 0 and sk % 25 not in (3, 7) then 'search page HTTP 403' else null end as last_error,
        1700000000 + (sk * 131 + pg * 17) % 86400 as updated_at
 from (select l_suppkey as sk, l_partkey % 20 as pg, count(distinct l_partkey) as n from lineitem group by l_suppkey, l_partkey % 20) g"""
 

@@ -42,9 +42,11 @@ def carry(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints: the cluster's setting, or a local one where none is set."""
+    """The folder for checkpoints: the cluster's setting, or, in a local session only, a temporary one where none is set."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = getattr(spark, "_harrow_folder", None) or tempfile.mkdtemp(prefix="harrow-checkpoints-")
         spark._harrow_folder = named
     return named

@@ -51,9 +51,10 @@ def fetch_records(ids: DataFrame, base_url: str, transport: Transport) -> DataFr
 
 def read_ids(spark: SparkSession, path: str | None = None, ids: tuple[str, ...] = ()) -> DataFrame:
     """Ids of a text file (blank lines and comments left out) and given ids, once each, in order."""
-    given = spark.createDataFrame([(i,) for i in ids], "id string").select(F.trim("id").alias("id"))
+    bare = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    given = spark.createDataFrame([(i,) for i in ids], "id string").select(bare("id").alias("id"))
     if path:
-        lines = spark.read.text(path).select(F.trim("value").alias("id")).filter(~F.col("id").startswith("#"))
+        lines = spark.read.text(path).select(bare("value").alias("id")).filter(~F.col("id").startswith("#"))
         given = given.unionByName(lines)
     return given.filter(F.col("id") != "").distinct().orderBy("id")
 
