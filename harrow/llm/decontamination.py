@@ -19,8 +19,10 @@ has several.  What meets is verified by exact edit distance.
 Items are broadcast in blocks of at most ``ITEMS`` rows and ``ITEM_BYTES`` bytes;
 larger benchmarks take more blocks, each against all documents.
 
-Edge cases: null or empty texts and items of fewer than ``least_words`` words
-match nothing.  Null ids are reported as null.  Repeated rows are reported each.
+Edge cases: null or empty texts match nothing.  Items of fewer than ``least_words``
+words, which any text may hold by chance, are not searched for; ``short_items``
+reports them.  Ids may have any type; null ids are reported as null.  Of passages
+with equally few edits the first is reported.  Very long texts are single rows.  Repeated rows are reported each.
 An empty table gives an empty result.  Extra columns do not matter;
 ``decontaminate`` returns all columns of its input unchanged.
 """
@@ -35,6 +37,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from harrow.llm.arrays import LOWER, U64, byte_values, chunks, joined, mix, spans_hash, windows_hash
 
@@ -237,27 +241,34 @@ def _prepared(block: DataFrame, slack: float, least_words: int) -> Items:
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, slack: float = 0.2, least_words: int = 5, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id") -> DataFrame:
     """doc_id, item_id, n_words of the item, edits and end_word of the best passage, for each document and item that match."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = benchmark.schema[item_id].dataType
+    schema = T.StructType([T.StructField("doc_id", own.schema["doc_id"].dataType), T.StructField("item_id", kind), *[T.StructField(c, T.LongType()) for c in ("n_words", "edits", "end_word")]])
     found = None
     for block in _item_blocks(benchmark, item_id, text):
         shared = docs.sparkSession.sparkContext.broadcast(_prepared(block, slack, least_words))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
-            names = ["doc_id", "item_id", "n_words", "edits", "end_word"]
             for batch in batches:
                 for first, texts in chunks(batch, "text"):
                     got = search(texts, items, slack)
                     if got:
                         ids = batch.column("doc_id").slice(first, len(texts)).take(pa.array([g[0] for g in got]))
-                        columns = [[items.ids[g[1]] for g in got], [len(items.words[g[1]]) for g in got], [g[2] for g in got], [g[3] for g in got]]
-                        yield pa.record_batch([ids, *[pa.array(c, pa.int64()) for c in columns]], names=names)
+                        columns = [[len(items.words[g[1]]) for g in got], [g[2] for g in got], [g[3] for g in got]]
+                        yield pa.record_batch([ids, pa.array([items.ids[g[1]] for g in got], to_arrow_type(kind)), *[pa.array(c, pa.int64()) for c in columns]], names=schema.names)
 
-        part = own.mapInArrow(run, "doc_id long, item_id long, n_words long, edits long, end_word long")
+        part = own.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
     return found
 
 
+def short_items(benchmark: DataFrame, least_words: int = 5, text: str = "text", item_id: str = "item_id") -> DataFrame:
+    """item_id and n_words of the items that are too short to be searched for."""
+    counted = benchmark.select(F.col(item_id).alias("item_id"), F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit("[A-Za-z0-9\\x{80}-\\x{10FFFF}]+")).cast("long").alias("n_words"))
+    return counted.filter(F.col("n_words") < least_words)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, slack: float = 0.2, least_words: int = 5, text: str = "text", item_id: str = "item_id") -> DataFrame:
     """The rows of ``docs`` that no benchmark item contaminates, with all their columns."""
     for block in _item_blocks(benchmark, item_id, "text"):
