@@ -1,12 +1,16 @@
 """License scan: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-Scan.  A unit of a file is a line, or its whole text.  Words are runs of ASCII
-letters, digits and non-ASCII characters, A-Z lower-cased.  A word's inverse
-document frequency comes from the number of files, out of all files, that have
-its hash bucket (``BUCKETS`` counters, whatever the corpus holds).  A unit's
-sparse vector (term frequency times idf) is compared by cosine with each
-template's; the best template of at least ``at`` is the file's own licence.  A
-whole text that matches makes the file a licence file, a line a header.
+Scan.  A unit of a file is a line, a paragraph (neighbouring lines that have words,
+so a notice wrapped over several comment lines is one), or its whole text.  Words
+are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased.  A
+word's inverse document frequency comes from the number of files, out of all files,
+that have its hash bucket (``BUCKETS`` counters, whatever the corpus holds).  A
+unit's sparse vector (term frequency times idf) is compared by cosine with each
+template's; a licence has several templates: short statements, its text or the
+notice that it asks for, and the title that its text begins with.  The best template
+of at least ``at`` is the file's own licence.  A whole text or a title at the head of a file makes the file a licence
+file, other lines and paragraphs a header.  A line with an SPDX identifier names its
+licence by itself, whether or not a template knows it.
 
 Inheritance.  A directory has the licence of its licence files: those found by
 text, and files named like one (LICENSE, LICENCE, COPYING, UNLICENSE) with an
@@ -16,13 +20,15 @@ directory join the directories that have a licence, and the deepest match is
 kept.
 
 Edge cases: null or empty texts have no own licence; files with a null path
-inherit nothing.  Equal cosines go to the template that comes first by name.
-Repeated rows are scanned each.  An empty table gives an empty result.  Extra
-columns do not matter.
+inherit nothing.  Equal cosines go to the template that comes first by name, and
+to the whole text before a paragraph before a line.  Repeated rows are scanned
+each.  Very long texts are scanned whole, a row at a time.  An empty table gives an
+empty result.  Extra columns do not matter.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -34,27 +40,15 @@ from pyspark.sql import functions as F
 from harrow.llm.arrays import U64, chunks, sorted_groups
 from harrow.llm.decontamination import folded_words
 from harrow.llm.exchange import pack, unpack
+from harrow.llm.license_texts import STATEMENTS, TEXTS, TITLES
+from harrow.llm.textops import settle
 
 BUCKETS = 1 << 16
 LICENSE_NAME = r"(?i)(^|/)(un)?(licen[sc]e|copying)([.-][^/]*)?$"
 
-# The statements by which works name their licence.
-TEMPLATES = {
-    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-2-Clause": "Licensed under the 2-Clause BSD License. Redistribution and use in source and binary forms, with or without modification, are permitted.",
-    "BSD-3-Clause": "Licensed under the 3-Clause BSD License. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "Dedicated to the public domain under CC0 1.0 Universal.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "ISC": "Released under the ISC License.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
+SPDX = re.compile(rb"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+)")
+#: Templates of each licence; a title counts only at the head of a file.
+TEMPLATES = {name: [*STATEMENTS.get(name, ()), *TEXTS.get(name, ())] for name in sorted({*STATEMENTS, *TEXTS, *TITLES})}
 
 
 def _distinct(group: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,25 +59,27 @@ def _distinct(group: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.nda
 
 @dataclass
 class Index:
-    """idf by bucket, and the weight of a bucket in each template's unit vector."""
+    """idf by bucket; the licence of each template; and the weight of a bucket in each template's unit vector."""
 
     names: list[str]
     idf: np.ndarray
     weight: np.ndarray
+    title: np.ndarray
 
 
-def build_index(files: int, frequency: np.ndarray, templates: dict[str, str]) -> Index:
-    names = sorted(templates)
+def build_index(files: int, frequency: np.ndarray, templates: dict[str, list[str] | str], titles: dict[str, list[str]]) -> Index:
+    listed = [(n, x, False) for n, texts in templates.items() for x in ([texts] if isinstance(texts, str) else texts)]
+    listed = sorted(listed + [(n, x, True) for n, texts in titles.items() for x in texts])
     idf = np.log((1 + files) / (1 + frequency)) + 1
-    words, first = folded_words([templates[n].encode() for n in names])
-    weight = np.zeros((BUCKETS, len(names)))
-    t, b, n = _distinct(np.repeat(np.arange(len(names)), np.diff(first)), (words % U64(BUCKETS)).astype(np.int64))
+    words, first = folded_words([x.encode() for _, x, _ in listed])
+    weight = np.zeros((BUCKETS, len(listed)))
+    t, b, n = _distinct(np.repeat(np.arange(len(listed)), np.diff(first)), (words % U64(BUCKETS)).astype(np.int64))
     weight[b, t] = n * idf[b]
-    return Index(names, idf, weight / np.maximum(np.linalg.norm(weight, axis=0), 1e-12))
+    return Index([n for n, _, _ in listed], idf, weight / np.maximum(np.linalg.norm(weight, axis=0), 1e-12), np.array([x for _, _, x in listed]))
 
 
-def _best(group: np.ndarray, bucket: np.ndarray, index: Index, at: float, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best template (-1: none reaches ``at``) and its cosine for each group of words; groups ascend."""
+def _best(group: np.ndarray, bucket: np.ndarray, index: Index, at: float, groups: int, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Best template (-1: none reaches ``at``) and its cosine for each group of words; groups ascend; titles only for the groups at a ``head``."""
     best, score = np.full(groups, -1), np.zeros(groups)
     known = index.weight.any(1)[bucket]
     if not known.any():
@@ -94,6 +90,7 @@ def _best(group: np.ndarray, bucket: np.ndarray, index: Index, at: float, groups
     cut = sorted_groups(g)[:-1]
     dots = np.zeros((groups, len(index.names)))
     dots[g[cut]] = np.add.reduceat(index.weight[b] * index.idf[b][:, None], cut, axis=0)
+    dots[np.ix_(~head, index.title)] = 0
     maybe = np.flatnonzero(dots.max(1) >= at * np.maximum(below, 1e-12))
     inside = np.zeros(groups, bool)
     inside[maybe] = True
@@ -111,17 +108,37 @@ def scan_texts(texts: list[bytes], index: Index, at: float) -> list[tuple[str |
     parts = [t.split(b"\n") for t in texts]
     count = np.array([len(p) for p in parts], np.int64)
     words, first = folded_words([x for p in parts for x in p])
-    line = np.repeat(np.arange(int(count.sum())), np.diff(first))
+    n_words = np.diff(first)
+    line = np.repeat(np.arange(int(count.sum())), n_words)
     bucket = (words % U64(BUCKETS)).astype(np.int64)
     of = np.repeat(np.arange(len(texts)), count)
-    by_line, line_score = _best(line, bucket, index, at, len(of))
-    by_text, text_score = _best(of[line], bucket, index, at, len(texts))
+    # A paragraph begins with a line that has words after one that has none, or with a text.
+    solid = n_words > 0
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1] | (of[1:] != of[:-1])
+    paragraph = np.cumsum(begins) - 1
+    first_of = np.flatnonzero(begins)
+    in_text = of[first_of]
+    head = np.ones(len(first_of), bool)
+    head[1:] = in_text[1:] != in_text[:-1]
+    line_head = np.zeros(len(of), bool)
+    line_head[first_of[head]] = True
     out: list[tuple[str | None, float, str | None]] = [(None, 0.0, None)] * len(texts)
-    for x in np.flatnonzero(by_line >= 0).tolist():
-        if line_score[x] > out[of[x]][1]:
-            out[of[x]] = (index.names[by_line[x]], float(line_score[x]), "header")
-    for x in np.flatnonzero(by_text >= 0).tolist():
-        out[x] = (index.names[by_text[x]], float(text_score[x]), "file")
+
+    def offer(group: np.ndarray, text_of: np.ndarray, heads: np.ndarray, whole: bool) -> None:
+        best, score = _best(group, bucket, index, at, len(text_of), heads)
+        for x in np.flatnonzero(best >= 0).tolist():
+            found = out[text_of[x]]
+            if score[x] > found[1] + 1e-12 or (whole and found[0] is not None):
+                kind = "file" if whole or index.title[best[x]] else "header"
+                out[text_of[x]] = (index.names[best[x]], float(score[x]), kind)
+
+    offer(line, of, line_head, False)
+    offer(paragraph[line], in_text, head, False)
+    offer(of[line], np.arange(len(texts)), np.ones(len(texts), bool), True)
+    for i, t in enumerate(texts):
+        if out[i][2] != "file" and b"SPDX-License-Identifier:" in t and (m := SPDX.search(t)):
+            out[i] = (m[1].decode(), 1.0, "header")
     return out
 
 
@@ -141,7 +158,7 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"part": table.column("part")[:1], "files": pa.array([sum(table.column("files").to_pylist())]), "payload": pa.array([pack(total)], pa.binary())})
 
 
-def own_licenses(files: DataFrame, templates: dict[str, str] | None = None, at: float = 0.8, path: str = "path", text: str = "text") -> DataFrame:
+def own_licenses(files: DataFrame, templates: dict[str, list[str] | str] | None = None, at: float = 0.8, path: str = "path", text: str = "text") -> DataFrame:
     """path, own_license, own_score and own_kind of every file."""
     own = files.select(F.col(path).alias("path"), F.col(text).alias("text"))
     parts = own.select("text").mapInArrow(_partial, "part long, files long, payload binary")
@@ -151,7 +168,7 @@ def own_licenses(files: DataFrame, templates: dict[str, str] | None = None, at:
     for r in some.toLocalIterator():
         n += r["files"]
         frequency = frequency + unpack(r["payload"])[0]
-    shared = files.sparkSession.sparkContext.broadcast(build_index(n, frequency, templates or TEMPLATES))
+    shared = files.sparkSession.sparkContext.broadcast(build_index(n, frequency, templates or TEMPLATES, {} if templates else TITLES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,6 +205,7 @@ def inherit(scanned: DataFrame, is_license_file: Callable[[DataFrame], Column] |
     )
 
 
-def license_scan(files: DataFrame, templates: dict[str, str] | None = None, at: float = 0.8, path: str = "path", text: str = "text", is_license_file: Callable[[DataFrame], Column] | None = None) -> DataFrame:
+def license_scan(files: DataFrame, templates: dict[str, list[str] | str] | None = None, at: float = 0.8, path: str = "path", text: str = "text", is_license_file: Callable[[DataFrame], Column] | None = None) -> DataFrame:
     """Own and effective licence of every file."""
-    return inherit(own_licenses(files, templates, at, path, text), is_license_file)
+    # The texts are scanned once; what is found, a few words a file, is read three times.
+    return inherit(settle(own_licenses(files, templates, at, path, text)), is_license_file)
