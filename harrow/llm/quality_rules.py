@@ -11,7 +11,7 @@ Everything on the data path is a Spark column expression.  Only the vote
 histogram reaches the driver.
 
 Edge cases: a null text is an empty one and has zero words, so it fails the base
-limits.  Repeated rows are judged one by one.  An empty table gives an empty
+limits.  Very long texts are judged whole.  Ties at ``keep_at`` are kept.  Repeated rows are judged one by one.  An empty table gives an empty
 result and uniform rule accuracies.  Extra columns do not matter; ``keep``
 returns all columns of its input unchanged.
 """
@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harrow.llm.textops import BLANKS, WORD_GAP, let, lines, settle, whole, words
+from harrow.llm.textops import BLANKS, WORD_GAP, let, lines, settle, whole, words, written
 
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
@@ -121,8 +121,8 @@ def base_failed(f: Column) -> Column:
 class RuleModel:
     """Prior of a good document, and for each rule how often each class draws each vote.
 
-    A vote counts as evidence by the ratio of its probabilities; an abstention
-    counts as none.
+    Whatever a rule says, an abstention too, is evidence by the ratio of its
+    probabilities, in the fit and in the verdicts alike.
     """
 
     prior: float = 0.8
@@ -131,8 +131,7 @@ class RuleModel:
 
     def weights(self, rule: int) -> list[float]:
         """Log odds for a good document that a bad vote, an abstention and a good vote bring."""
-        w = [math.log(g) - math.log(b) for g, b in zip(self.good[rule], self.bad[rule], strict=True)]
-        return [w[BAD], 0.0, w[GOOD]]
+        return [math.log(g) - math.log(b) for g, b in zip(self.good[rule], self.bad[rule], strict=True)]
 
     def log_odds(self, pattern: int) -> float:
         x = math.log(self.prior) - math.log(1 - self.prior)
@@ -144,11 +143,11 @@ class RuleModel:
         for k in range(len(RULES)):
             w = self.weights(k)
             digit = F.pmod(F.floor(pattern / F.lit(3**k)), F.lit(3))
-            x = x + F.when(digit == BAD, w[BAD]).when(digit == GOOD, w[GOOD]).otherwise(0.0)
+            x = x + F.when(digit == BAD, w[BAD]).when(digit == GOOD, w[GOOD]).otherwise(w[ABSTAIN])
         return 1 / (1 + F.exp(-x))
 
 
-def expect_maximise(histogram: dict[int, int], rounds: int = 100) -> RuleModel:
+def expect_maximise(histogram: dict[int, int], rounds: int = 500) -> RuleModel:
     """Two latent classes fitted to a histogram of vote patterns.
 
     ``GUESS`` enters as pseudo-counts of a twentieth of the documents: it keeps
@@ -172,21 +171,22 @@ def expect_maximise(histogram: dict[int, int], rounds: int = 100) -> RuleModel:
                 b[digits[p][k]] += (1 - share[p]) * n
             fresh.good.append([x / sum(g) for x in g])
             fresh.bad.append([x / sum(b) for x in b])
-        moved = abs(fresh.prior - model.prior)
+        moved = max(abs(x - y) for a, b in ((fresh.good, model.good), (fresh.bad, model.bad), ([[fresh.prior]], [[model.prior]])) for p, q in zip(a, b, strict=True) for x, y in zip(p, q, strict=True))
         model = fresh
-        if moved < 1e-10:
+        if moved < 1e-9:
             break
     return model
 
 
 def _fitted(judged: DataFrame) -> RuleModel:
-    patterns = judged.select(votes(F.col("f")).alias("pattern")).groupBy("pattern").agg(F.count("*").alias("n"))
+    """The model of a table of vote patterns."""
+    patterns = judged.groupBy("pattern").agg(F.count("*").alias("n"))
     return expect_maximise({r["pattern"]: r["n"] for r in patterns.collect()})
 
 
 def fit(docs: DataFrame, text: str = "text") -> RuleModel:
     """Estimate the rules' accuracies over all documents."""
-    return _fitted(docs.select(features(F.col(text)).alias("f")))
+    return _fitted(docs.select(votes(features(F.col(text))).alias("pattern")))
 
 
 def score(docs: DataFrame, model: RuleModel | None = None, text: str = "text", doc_id: str = "doc_id", keep_at: float = 0.5) -> DataFrame:
@@ -198,7 +198,7 @@ def score(docs: DataFrame, model: RuleModel | None = None, text: str = "text", d
     judged = docs.select(F.col(doc_id).alias("doc_id"), features(F.col(text)).alias("f"))
     if model is None:
         judged = settle(judged)
-        model = _fitted(judged)
+        model = _fitted(judged.select(votes(F.col("f")).alias("pattern")))
     f = F.col("f")
     judged = judged.withColumn("failed", base_failed(f)).withColumn("p", model.probability(votes(f)))
     return judged.select(
@@ -211,8 +211,15 @@ def score(docs: DataFrame, model: RuleModel | None = None, text: str = "text", d
 
 
 def keep(docs: DataFrame, model: RuleModel | None = None, text: str = "text", keep_at: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    model = model or fit(docs, text)
-    marked = docs.withColumn(_OWN, features(F.col(text)))
-    f = F.col(_OWN)
-    return marked.filter(~base_failed(f) & (model.probability(votes(f)) >= keep_at)).drop(_OWN)
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    The texts are judged once: the rows are written with their vote pattern, which
+    serves both the fit and the verdicts.
+    """
+    f = features(F.col(text))
+    marked = docs.withColumn(_OWN, let(f, lambda x: F.struct(base_failed(x).alias("failed"), votes(x).alias("pattern"))))
+    own = F.col(_OWN)
+    if model is None:
+        marked = written(marked)
+        model = _fitted(marked.select(own["pattern"].alias("pattern")))
+    return marked.filter(~own["failed"] & (model.probability(own["pattern"]) >= keep_at)).drop(_OWN)
