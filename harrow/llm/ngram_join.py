@@ -22,18 +22,22 @@ The bins of two sets differ by no more than the sets do, so a pair whose bins or
 sizes differ by more than a link allows is no link; this rules out nearly all that
 met by chance, and nothing else.
 
-Verification, exact, of pairs and never of whole groups:
-
-1. In every group each node is paired with the first node, or, where bins rule that
-   out, with the one before it.  Pairs are verified once, on their sets of hashes,
-   and union-find joins what is linked.
-2. Nodes of a group that are then in different components are compared by size and
-   bins, in blocks of ``MEMBERS`` so that a large group is dealt among tasks; what
-   passes is verified and union-find joins again.  So every two linked sets are
-   verified or already in one component, and no link is lost.
-
-A group of m nodes, none linked, costs m^2 / 2 comparisons of bins in step 2; a
-family of m variants costs about m verifications.
+Candidate clusters.  Two nodes are *alike* when they share a group and bins and
+sizes allow a link.  Clusters are the components of that relation, so linked nodes
+always lie in one.  They are found in two steps: each node with the first of each of
+its groups; then, in every group whose nodes are still in different components,
+these against one another, in blocks of ``MEMBERS`` dealt among tasks.  A task emits
+no more edges than it has components to join.
+
+Verification is exact, on the sets of hashes of the nodes that are alike to another:
+small clusters go to one task; larger ones are dealt into blocks of at most ``MEMBERS``
+nodes or ``BLOCK_BYTES`` of sets and every two blocks meet in a task, so memory is
+bounded and no link is lost.  A task counts common elements with matrix products
+and returns a spanning forest of its links.
+
+A group of m nodes costs at most m^2 / 2 comparisons of bins, and a cluster of m
+different texts m^2 / 2 entries of a matrix product; that is the price of losing no
+link, and no task or shuffle holds that many rows.
 
 Edge cases: texts without words (null, empty) have empty sets and link with
 nothing.  A text of fewer than n words is one n-gram.  Very long texts are single
@@ -57,7 +61,9 @@ from harrow.llm.exchange import n_blocks, pack, unpack
 from harrow.llm.graph import components
 from harrow.llm.textops import doc_bytes, settle, written
 
-MEMBERS, BINS = 256, 64
+MEMBERS, BLOCK_BYTES, BINS = 1024, 16 << 20, 64
+#: Rows and bytes of sets that a task of many small groups is dealt.
+TASK_ROWS, TASK_BYTES = 50_000, 16 << 20
 _PART = U64(0xC2B2AE3D27D4EB4F)
 
 
@@ -211,7 +217,7 @@ def _signed(n: int, percent: int, shards: int) -> Callable[[Iterator[pa.RecordBa
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Groups of nodes that share a signature: each node with the first of them and the one before it."""
+    """Groups of nodes that share a signature: each node with the first of them."""
     parts = [unpack(p.as_py()) for p in table.column("payload")]
     sig = np.concatenate([(p[0].astype(U64) << U64(8)) | p[1] for p in parts])
     node = np.concatenate([np.repeat(p[2], p[3]) for p in parts])
@@ -230,7 +236,20 @@ def _meet(table: pa.Table) -> pa.Table:
     nth = np.arange(len(of)) - np.repeat(np.cumsum(size[pick]) - size[pick], size[pick])
     at = g[pick][of] + nth
     band = mix(sig[g[pick]] ^ U64(table.column("to")[0].as_py()) << U64(40)).view(np.int64)
-    return pa.table({"band": band[of], "node": node[at], "first": node[at - nth], "before": node[np.maximum(at - 1, at - nth)]})
+    return pa.table({"band": band[of], "node": node[at], "first": node[at - nth]})
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How much bins differ, row by row or by broadcasting."""
+    return np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(-1, dtype=np.int32)
+
+
+def _may_link(apart: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    return ((100 + percent) * apart <= (100 - percent) * (a + b)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+
+
+def _bins(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
 
 
 def _like(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -238,29 +257,99 @@ def _like(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = {c: batch.column(c) for c in batch.schema.names}
-            bins = {c: np.frombuffer(b"".join(column[c].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("bins", "its")}
-            a, b = column["size"].to_numpy(), column["of_size"].to_numpy()
-            apart = np.abs(bins["bins"] - bins["its"]).sum(1)
-            ok = ((100 + percent) * apart <= (100 - percent) * (a + b)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+            ok = _may_link(_apart(_bins(batch.column("bins")), _bins(batch.column("its"))), batch.column("size").to_numpy(), batch.column("of_size").to_numpy(), percent)
             yield batch.select(["node", "other"]).filter(pa.array(ok))
 
     return run
 
 
-def _linked(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs whose sets are similar; both sets come sorted."""
+def _between(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Edges that join the components of a group, or of two blocks of one, that alike nodes connect."""
+
+    def run(table: pa.Table) -> pa.Table:
+        key = [table.column(c).to_numpy() for c in ("second", "j", "i", "band")]
+        order = np.lexsort(key)
+        node, size, second = (table.column(c).to_numpy()[order] for c in ("node", "size", "second"))
+        _, component = np.unique(table.column("component").to_numpy()[order], return_inverse=True)
+        root = np.arange(len(order))  # of each component, over all groups of the task
+        bins = _bins(table.column("bins"))[order]
+        new = np.any([k[order][1:] != k[order][:-1] for k in key[1:]], axis=0)
+        cuts = np.r_[0, np.flatnonzero(new) + 1, len(order)] if len(order) else [0]
+        found: list[tuple[int, int]] = []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            mine = root[component[lo:hi]]
+            label, at = np.unique(mine, return_inverse=True)
+            if len(label) < 2:
+                continue
+            # Nodes of the most common component need no comparison with one another.
+            few = lo + np.flatnonzero(at != np.bincount(at).argmax())
+            blocks = bool(second[hi - 1])
+            for x in few.tolist():
+                y = np.flatnonzero(root[component[lo:hi]] != root[component[x]]) + lo
+                if blocks:
+                    y = y[second[y] != second[x]]
+                y = y[100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])]
+                y = y[_may_link(_apart(bins[y], bins[x]), size[y], size[x], percent)]
+                if len(y):
+                    _, one = np.unique(root[component[y]], return_index=True)
+                    found += [(int(node[x]), int(node[o])) for o in y[one]]
+                    root[np.isin(root, root[component[y]])] = root[component[x]]
+        return pa.table({"node": pa.array([p[0] for p in found], pa.int64()), "other": pa.array([p[1] for p in found], pa.int64())})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("set"), batch.column("other_set"), strict=True)):
-                a, b = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                both = np.concatenate((a, b))
-                both.sort(kind="stable")  # a merge of two runs
-                common = int((both[1:] == both[:-1]).sum())
-                ok[i] = 100 * common >= percent * (len(both) - common)
-            yield batch.select(["node", "other"]).filter(pa.array(ok))
+    return run
+
+
+def forest(sets: list[np.ndarray], nodes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that connect what exact similarities connect among these sets."""
+    m = len(sets)
+    size = np.array([len(s) for s in sets], np.int64)
+    row = np.repeat(np.arange(m), size)
+    element, column = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = np.bincount(column, minlength=len(element)) > 1
+    renumber = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], renumber[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((m, m), np.float32)
+    width = max(1, (8 << 20) // max(m, 1))
+    for a in range(0, int(shared.sum()), width):
+        lo, hi = np.searchsorted(column, (a, a + width))
+        dense = np.zeros((m, min(width, int(shared.sum()) - a)), np.float32)
+        dense[row[lo:hi], column[lo:hi] - a] = 1
+        common += dense @ dense.T
+    both = common.astype(np.int64)
+    linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(linked, False)
+    out, reached = [], np.zeros(m, bool)
+    for root in range(m):
+        if reached[root]:
+            continue
+        reached[root], front = True, [root]
+        while front:
+            x = front.pop()
+            for y in np.flatnonzero(linked[x] & ~reached).tolist():
+                reached[y] = True
+                front.append(y)
+                out.append((int(nodes[x]), int(nodes[y])))
+    return out
+
+
+def _verify(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links of all clusters, or pairs of blocks, of a task."""
+
+    def run(table: pa.Table) -> pa.Table:
+        key = [table.column(c).to_numpy() for c in ("j", "i", "component")]
+        order = np.lexsort(key)
+        new = np.any([k[order][1:] != k[order][:-1] for k in key], axis=0)
+        cuts = np.r_[0, np.flatnonzero(new) + 1, len(order)] if len(order) else [0]
+        node, held = table.column("node").to_numpy(), table.column("set")
+        links = []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            pick = order[lo:hi]
+            if len(pick) > 1:
+                links += forest([np.frombuffer(held[int(i)].as_buffer(), U64) for i in pick], node[pick], percent)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
@@ -278,22 +367,20 @@ def _sets(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return run
 
 
-def _unlinked(met: DataFrame, found: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of one group that are in different components and whose sizes and bins allow a link.
+def _dealt(member: DataFrame, key: str) -> DataFrame:
+    """Rows of (key, node, blocks) for every two blocks, i and j, that meet; ``second`` where the row is of block j and not i."""
+    placed = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.select(key, F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), (F.col("block") > F.col("o")).cast("int").alias("second"), *[c for c in member.columns if c not in (key, "blocks")])
 
-    Groups of more than ``MEMBERS`` nodes are dealt into blocks, and every two blocks meet in a task.
-    """
+
+def _unjoined(met: DataFrame, found: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Edges between alike nodes of one group that are in different components, enough to join these."""
     rooted = met.select("band", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sized = rooted.groupBy("band").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    member = settle(rooted.join(sized.select("band", "blocks"), "band").join(known.select("node", "size", "bins"), "node"))
-    placed = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o"))
-    x = dealt.filter("block = i").select("band", "i", "j", "node", "component", "size", "bins")
-    y = dealt.filter("block = j").select("band", "i", "j", F.col("node").alias("other"), F.col("component").alias("of"), F.col("size").alias("of_size"), F.col("bins").alias("its"))
-    apart = (F.col("component") != F.col("of")) & (100 * F.least("size", "of_size") >= percent * F.greatest("size", "of_size"))
-    pairs = x.join(y, ["band", "i", "j"]).filter(apart & ((F.col("i") < F.col("j")) | (F.col("node") > F.col("other"))))
-    near = pairs.select("node", "other", "size", "of_size", "bins", "its").mapInArrow(_like(percent), "node long, other long")
-    return near.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")).distinct()
+    member = settle(rooted.join(sized.select("band", "blocks"), "band"))
+    tasks = 1 + (member.agg(F.sum("blocks")).first()[0] or 0) // TASK_ROWS
+    placed = _dealt(member.join(known.select("node", "size", "bins"), "node"), "band").withColumn("task", F.pmod(F.xxhash64("band", "i", "j"), F.lit(tasks)))
+    return placed.groupBy("task").applyInArrow(_between(percent), "node long, other long").distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -303,31 +390,29 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, text: str
     rows = written(described)
     shards = n_blocks(doc_bytes(docs, text))
     signed = own.select("text").mapInArrow(_signed(n, percent, shards), "to long, payload binary")
-    met = written(signed.groupBy("to").applyInArrow(_meet, "band long, node long, first long, before long"))
+    met = written(signed.groupBy("to").applyInArrow(_meet, "band long, node long, first long"))
     sought = met.select("node").distinct()
     # One row a node: its size and bins, and one document that holds it.
     known = written(rows.groupBy("node").agg(F.max("n_shingles").alias("size"), F.max("bins").alias("bins"), F.min(F.struct("doc_id", "content")).alias("holder")).join(sought, "node", "left_semi"))
     its = known.select(F.col("node").alias("other"), F.col("size").alias("of_size"), F.col("bins").alias("its"))
-    holder = known.select("node", F.col("holder.doc_id").alias("held_id"), F.col("holder.content").alias("held"))
-    met_text = own.join(holder, own["doc_id"].eqNullSafe(holder["held_id"]) & (F.xxhash64(own["text"]) == holder["held"]))
-    sets = written(met_text.select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(n), "node long, set binary"))
-
     def like(pairs: DataFrame) -> DataFrame:
         both = pairs.join(known.select("node", "size", "bins"), "node").join(its, "other")
         return both.select("node", "other", "size", "of_size", "bins", "its").mapInArrow(_like(percent), "node long, other long")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("other"), F.col("set").alias("other_set")), "other")
-        return both.select("node", "other", "set", "other_set").mapInArrow(_linked(percent), "node long, other long")
-
-    first = settle(like(met.select("node", F.col("first").alias("other")).filter("node <> other").distinct()))
-    passed = first.select(F.col("node"), F.col("other").alias("first"), F.lit(True).alias("passed"))
-    rest = met.filter("node <> before and before <> first").join(passed, ["node", "first"], "left").filter("passed is null")
-    second = like(rest.select("node", F.col("before").alias("other")).distinct())
-    found = components(linked(first.unionAll(second).distinct()), "node", "other")
-    more = settle(_unlinked(met, found, known, percent))
-    if not more.isEmpty():
-        found = components(found.select("node", F.col("component").alias("other")).unionAll(linked(more)), "node", "other")
+    first = components(like(met.filter("node <> first").select("node", F.col("first").alias("other")).distinct()), "node", "other")
+    more = _unjoined(met, first, known, percent)
+    clusters = components(first.select("node", F.col("component").alias("other")).unionAll(more), "node", "other")
+    own_set = settle(clusters.join(known.select("node", "size", "holder"), "node"))
+    of_bytes = F.sum(8 * F.col("size"))
+    sized = own_set.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(of_bytes / BLOCK_BYTES)).cast("int").alias("blocks"))
+    member = own_set.join(sized, "component")
+    tasks = 1 + (member.agg(F.sum(8 * F.col("size") * F.col("blocks"))).first()[0] or 0) // TASK_BYTES
+    dealt = _dealt(member.select("component", "node", "blocks"), "component").withColumn("task", F.pmod(F.xxhash64("component", "i", "j"), F.lit(tasks)))
+    holder = own_set.select("node", F.col("holder.doc_id").alias("held_id"), F.col("holder.content").alias("held"))
+    met_text = own.join(holder, own["doc_id"].eqNullSafe(holder["held_id"]) & (F.xxhash64(own["text"]) == holder["held"]))
+    sets = met_text.select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(n), "node long, set binary")
+    links = dealt.join(sets, "node").select("component", "i", "j", "task", "node", "set").groupBy("task").applyInArrow(_verify(percent), "a long, b long")
+    found = components(links, "a", "b")
     rooted = rows.drop("bins", "content").join(found.withColumnRenamed("component", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("least_id"))
     out = rooted.join(least, "root")
