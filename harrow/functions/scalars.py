@@ -18,19 +18,19 @@ def fnv1a64(text: Column) -> Column:
     The state is kept in two 32-bit halves, so no product leaves 64 bits; the
     prime is 2**40 + 435.
     """
-    raw = F.encode(text, "utf-8")
 
-    def step(a: Column, i: Column) -> Column:
-        byte = F.ascii(F.decode(F.substring(raw, i, F.lit(1)), "iso-8859-1")).cast("long")
+    def step(a: Column, byte: Column) -> Column:
         v = a["lo"].bitwiseXOR(byte)
         low = v * 435
         high = a["hi"] * 435 + F.shiftright(low, 32) + F.shiftleft(v.bitwiseAND(F.lit(0xFFFFFF)), 8)
         return F.struct(high.bitwiseAND(F.lit(_LOW)).alias("hi"), low.bitwiseAND(F.lit(_LOW)).alias("lo"))
 
     start = F.struct(F.lit(3421674724).cast("long").alias("hi"), F.lit(2216829733).cast("long").alias("lo"))
-    places = F.when(F.octet_length(raw) > 0, F.sequence(F.lit(1), F.octet_length(raw))).otherwise(F.array().cast("array<int>"))
-    hashed = F.aggregate(places, start, step)
-    return F.lower(F.concat(F.lpad(F.hex(hashed["hi"]), 8, "0"), F.lpad(F.hex(hashed["lo"]), 8, "0")))
+    # Read as Latin-1, a byte is a character; the array of them is made once a text.
+    letters = F.split(F.decode(F.encode(text, "utf-8"), "iso-8859-1"), "")
+    bytes_ = F.transform(F.filter(letters, lambda c: c != ""), lambda c: F.ascii(c).cast("long"))
+    hashed = F.transform(F.array(F.aggregate(bytes_, start, step)), lambda h: F.lower(F.concat(F.lpad(F.hex(h["hi"]), 8, "0"), F.lpad(F.hex(h["lo"]), 8, "0"))))
+    return F.get(hashed, F.lit(0))
 
 
 def human_bytes(n: Column) -> Column:

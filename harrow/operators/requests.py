@@ -1,8 +1,10 @@
 """The request log: failure classes, streaks, pauses and worker usage.
 
-Streaks are global over all workers, so their windows order the whole log.  To
-keep that order out of one task, the log is cut into numbered spans: resets are
-counted inside each span and the spans' totals are added up first.
+Streaks are global over all workers, so they need the order of the whole log.  To
+keep that order out of one task, the log is cut into spans of ``SPAN`` numbers and
+these into blocks of ``SPAN`` spans: what a streak brings along is worked out inside
+spans, then over the spans of a block, then over blocks, of which there is one for
+ten billion requests.
 """
 
 from __future__ import annotations
@@ -25,23 +27,34 @@ def outcome(http_status: Column) -> Column:
     )
 
 
-def _running(log: DataFrame, **marks: Column) -> DataFrame:
-    """Running sums of marks over the whole log by seq, in spans."""
-    cut = log.withColumns({f"_{n}": m.cast("long") for n, m in marks.items()}).withColumn("_span", F.floor(F.col("seq") / SPAN))
-    totals = cut.groupBy("_span").agg(*[F.sum(f"_{n}").alias(f"_t_{n}") for n in marks])
-    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select("_span", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in marks])
-    inside = Window.partitionBy("_span").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    summed = cut.join(F.broadcast(base), "_span")  # one row a span of 100,000 requests
-    return summed.select(*log.columns, *[(F.col(f"_b_{n}") + F.sum(f"_{n}").over(inside)).alias(n) for n in marks])
+def _since(units: DataFrame, group: str | None, order: str) -> DataFrame:
+    """``_since``: what ``_add`` adds up to after the last ``_reset`` so far in the group; ``_open``: there was none."""
+    over = (Window.partitionBy(group) if group else Window.partitionBy()).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = units.withColumn("_sum", F.sum("_add").over(over))
+    start = F.max(F.when(F.col("_reset"), F.col("_sum") - F.col("_add"))).over(over)  # sums never fall
+    return summed.withColumn("_start", start).withColumn("_since", F.col("_sum") - F.coalesce("_start", F.lit(0))).withColumn("_open", F.col("_start").isNull())
+
+
+def _totals(units: DataFrame, order: str, *by: str) -> DataFrame:
+    return units.groupBy(*by).agg(F.max_by("_since", order).alias("_add"), F.max("_reset").alias("_reset"))
+
+
+def _carry(units: DataFrame, group: str | None, order: str, name: str) -> DataFrame:
+    """What each unit is handed by those before it in the group, and whether that still lacks a reset."""
+    before = (Window.partitionBy(group) if group else Window.partitionBy()).orderBy(order)
+    return units.withColumn(name, F.coalesce(F.lag("_since").over(before), F.lit(0))).withColumn(f"{name}_open", F.coalesce(F.lag("_open").over(before), F.lit(True)))
 
 
 def _streak(log: DataFrame, name: str, adds: Column, resets: Column) -> DataFrame:
     """Length of the current streak after each request: adds since the last reset."""
-    added, island = f"_{name}_added", f"_{name}_island"
-    marked = _running(log, **{island: resets, added: adds})
-    first = marked.groupBy(island).agg(F.min(F.when(F.col(island) > 0, F.col(added) - adds.cast("long")).otherwise(0)).alias("_start"))
-    return marked.join(first, island).withColumn(name, F.col(added) - F.col("_start")).select(*log.columns, name)
+    marked = log.withColumns({"_add": adds.cast("long"), "_reset": F.coalesce(resets, F.lit(False)), "_span": F.floor(F.col("seq") / SPAN)})
+    rows = _since(marked.withColumn("_block", F.floor(F.col("_span") / SPAN)), "_span", "seq")
+    spans = _since(_totals(rows, "seq", "_span", "_block"), "_block", "_span")
+    blocks = _since(_totals(spans, "_span", "_block"), None, "_block")
+    handed = _carry(spans, "_block", "_span", "_c").join(_carry(blocks, None, "_block", "_b").select("_block", "_b"), "_block")
+    carry = handed.select("_span", (F.col("_c") + F.when(F.col("_c_open"), F.col("_b")).otherwise(0)).alias("_carry"))
+    joined = rows.join(carry, "_span")
+    return joined.withColumn(name, F.col("_since") + F.when(F.col("_open"), F.col("_carry")).otherwise(0)).select(*log.columns, name)
 
 
 def error_streaks(log: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 """Scalar functions and extraction on the literal cases."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from harrow.functions import scalars
-from harrow.operators import extract, flatten, planner
+from harrow.operators import extract, flatten, planner, requests
 
 BASE = "https://catalog.test/"
 
@@ -148,3 +150,22 @@ def test_overflow_years(spark):
     config = planner.PlannerConfig(shard_years=True, overflow_years=(1901,), no_year_shard=False)
     labels = {r["label"] for r in planner.initial_jobs(spark, spec, config).collect()}
     assert len(labels) == 3 + 6 and "year 1901 sort document_titlesort:asc" in labels
+
+
+def test_streaks_over_spans_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(requests, "SPAN", 3)
+    rng = random.Random(9)
+    statuses = [rng.choice([200, 200, 403, 404, 500, None, 503]) for _ in range(120)] + [503] * 40 + [403] * 40
+    seqs = sorted(rng.sample(range(1000), len(statuses)))  # sparse numbers
+    log = spark.createDataFrame(list(zip(seqs, statuses, strict=True)), "seq long, http_status int")
+    transient = forbidden = success = 0
+    expected = []
+    for n, s in zip(seqs, statuses, strict=True):
+        kind = "transient" if s is None or s >= 500 else "forbidden" if s == 403 else "missing" if s == 404 else "ok"
+        transient = 0 if kind == "ok" else transient + (kind == "transient")
+        forbidden = forbidden + 1 if kind == "forbidden" else 0
+        success = 0 if kind == "transient" else success + (kind == "ok")
+        expected.append((n, transient, forbidden, success))
+    errors = {r.seq: (r.transient_streak, r.forbidden_streak) for r in requests.error_streaks(log).collect()}
+    good = {r.seq: r.success_streak for r in requests.success_streaks(log).collect()}
+    assert [(n, *errors[n], good[n]) for n in seqs] == expected
