@@ -288,6 +288,11 @@ def facets_column(html: Column, fields: list[str]) -> Column:
     return _batched(lambda t: facet_values(t, fields), "map<string,array<string>>")(html)
 
 
+def facet_value_count(values: Column) -> Column:
+    """Values of all fields of a facet map."""
+    return F.aggregate(F.map_values(values), F.lit(0), lambda n, v: n + F.size(v))
+
+
 def card_rows(pages: DataFrame, html: str = "html", url: str = "url", key: str = "id") -> DataFrame:
     """``key`` and the card's metadata columns of every page."""
     names = [c.split(" ")[0] for c in re.split(r", (?=\w+ )", CARD)]

@@ -548,6 +548,36 @@ def facet_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relation(spark, sf_dir, "d_records").select("id", F.array_join(values["lang"], ",").alias("lang"))
 
 
+@_query("select id, case when fetched_at % 13 = fetched_at % 3 then 2 else 3 end as n_values from d_records")
+def facet_value_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many distinct values all wanted facets of a page offer."""
+    html = F.expr("""concat('<p data-id="lang" data-value="v', fetched_at % 13, '"/><p data-id="lang" data-value="v', fetched_at % 3, '"/><p data-id="idlibrary" data-value="7"/><p data-id="z" data-value="1"/>')""")
+    return relation(spark, sf_dir, "d_records").select("id", extract.facet_value_count(extract.facets_column(html, ["lang", "idlibrary"])).cast("int").alias("n_values"))
+
+
+@_query("select id, fetched_at % 7 = 0 as failed, case when fetched_at % 7 = 0 then null else 'n' || (fetched_at % 4) end as leader from d_records")
+def marc_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed MARC texts give an error beside the other fields and do not stop the rest."""
+    xml = """concat('<m:record xmlns:m="urn:m"><m:leader>n', fetched_at % 4, '</m:leader>', case when fetched_at % 7 = 0 then '<m:field' else '</m:record>' end)"""
+    made = extract.marc_rows(relation(spark, sf_dir, "d_records").select("id", F.expr(xml).alias("xml")))
+    return made.select("id", F.col("marc_error").isNotNull().alias("failed"), F.col("leader"))
+
+
+@_query("select search_key, page, id from d_search_items where page % 5 <> 0 or cast(right(id, 1) as int) % 2 = 0")
+def replaced_memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth page is read again and shows only ids with an even number."""
+    members = relation(spark, sf_dir, "d_search_items")
+    again = members.filter("page % 5 = 0")
+    return state.replace_members(members, again.select("search_key", "page").distinct(), again.filter("cast(right(id, 1) as int) % 2 = 0"))
+
+
+@_query("select worker_id, max(seq) as seq, arg_max(coalesce(http_status, 0), seq) as http_status from d_requests group by worker_id")
+def upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last row of each key, as an upsert leaves it."""
+    log = relation(spark, sf_dir, "d_requests").select("worker_id", "seq", F.coalesce("http_status", F.lit(0)).alias("http_status"))
+    return state.latest(log, "worker_id", "seq")
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relation(spark, sf_dir, "d_record_json")
 
