@@ -57,6 +57,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.llm.arrays import BASES, LOWER, U64, byte_values, chunks, joined, mix, sorted_groups, spans_hash, windows_hash, word_spans
+from harrow.llm.clusters import EDGES, cluster_links, dealt, joining_edges
 from harrow.llm.exchange import n_blocks, pack, unpack
 from harrow.llm.graph import components
 from harrow.llm.textops import doc_bytes, settle, written
@@ -264,92 +265,16 @@ def _like(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 def _between(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Edges that join the components of a group, or of two blocks of one, that alike nodes connect."""
-
-    def run(table: pa.Table) -> pa.Table:
-        key = [table.column(c).to_numpy() for c in ("second", "j", "i", "band")]
-        order = np.lexsort(key)
-        node, size, second = (table.column(c).to_numpy()[order] for c in ("node", "size", "second"))
-        _, component = np.unique(table.column("component").to_numpy()[order], return_inverse=True)
-        root = np.arange(len(order))  # of each component, over all groups of the task
-        bins = _bins(table.column("bins"))[order]
-        new = np.any([k[order][1:] != k[order][:-1] for k in key[1:]], axis=0)
-        cuts = np.r_[0, np.flatnonzero(new) + 1, len(order)] if len(order) else [0]
-        found: list[tuple[int, int]] = []
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            mine = root[component[lo:hi]]
-            label, at = np.unique(mine, return_inverse=True)
-            if len(label) < 2:
-                continue
-            # Nodes of the most common component need no comparison with one another.
-            few = lo + np.flatnonzero(at != np.bincount(at).argmax())
-            blocks = bool(second[hi - 1])
-            for x in few.tolist():
-                y = np.flatnonzero(root[component[lo:hi]] != root[component[x]]) + lo
-                if blocks:
-                    y = y[second[y] != second[x]]
-                y = y[100 * np.minimum(size[y], size[x]) >= percent * np.maximum(size[y], size[x])]
-                y = y[_may_link(_apart(bins[y], bins[x]), size[y], size[x], percent)]
-                if len(y):
-                    _, one = np.unique(root[component[y]], return_index=True)
-                    found += [(int(node[x]), int(node[o])) for o in y[one]]
-                    root[np.isin(root, root[component[y]])] = root[component[x]]
-        return pa.table({"node": pa.array([p[0] for p in found], pa.int64()), "other": pa.array([p[1] for p in found], pa.int64())})
-
-    return run
+    def alike(bins: np.ndarray, size: np.ndarray, own_bins: np.ndarray, own_size: np.ndarray) -> np.ndarray:
+        return _may_link(_apart(bins, own_bins), size, own_size, percent)
 
-
-def forest(sets: list[np.ndarray], nodes: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what exact similarities connect among these sets."""
-    m = len(sets)
-    size = np.array([len(s) for s in sets], np.int64)
-    row = np.repeat(np.arange(m), size)
-    element, column = np.unique(np.concatenate(sets), return_inverse=True)
-    shared = np.bincount(column, minlength=len(element)) > 1
-    renumber = np.cumsum(shared) - 1
-    keep = shared[column]
-    row, column = row[keep], renumber[column[keep]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    common = np.zeros((m, m), np.float32)
-    width = max(1, (8 << 20) // max(m, 1))
-    for a in range(0, int(shared.sum()), width):
-        lo, hi = np.searchsorted(column, (a, a + width))
-        dense = np.zeros((m, min(width, int(shared.sum()) - a)), np.float32)
-        dense[row[lo:hi], column[lo:hi] - a] = 1
-        common += dense @ dense.T
-    both = common.astype(np.int64)
-    linked = 100 * both >= percent * (size[:, None] + size[None, :] - both)
-    np.fill_diagonal(linked, False)
-    out, reached = [], np.zeros(m, bool)
-    for root in range(m):
-        if reached[root]:
-            continue
-        reached[root], front = True, [root]
-        while front:
-            x = front.pop()
-            for y in np.flatnonzero(linked[x] & ~reached).tolist():
-                reached[y] = True
-                front.append(y)
-                out.append((int(nodes[x]), int(nodes[y])))
-    return out
+    return lambda table: joining_edges(table, "band", [_bins(table.column("bins")), table.column("size").to_numpy()], alike)
 
 
 def _verify(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """Links of all clusters, or pairs of blocks, of a task."""
-
     def run(table: pa.Table) -> pa.Table:
-        key = [table.column(c).to_numpy() for c in ("j", "i", "component")]
-        order = np.lexsort(key)
-        new = np.any([k[order][1:] != k[order][:-1] for k in key], axis=0)
-        cuts = np.r_[0, np.flatnonzero(new) + 1, len(order)] if len(order) else [0]
-        node, held = table.column("node").to_numpy(), table.column("set")
-        links = []
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            pick = order[lo:hi]
-            if len(pick) > 1:
-                links += forest([np.frombuffer(held[int(i)].as_buffer(), U64) for i in pick], node[pick], percent)
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+        held = table.column("set")
+        return cluster_links(table, "component", lambda pick: [np.frombuffer(held[int(i)].as_buffer(), U64) for i in pick], percent)
 
     return run
 
@@ -367,20 +292,14 @@ def _sets(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return run
 
 
-def _dealt(member: DataFrame, key: str) -> DataFrame:
-    """Rows of (key, node, blocks) for every two blocks, i and j, that meet; ``second`` where the row is of block j and not i."""
-    placed = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return placed.select(key, F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), (F.col("block") > F.col("o")).cast("int").alias("second"), *[c for c in member.columns if c not in (key, "blocks")])
-
-
 def _unjoined(met: DataFrame, found: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Edges between alike nodes of one group that are in different components, enough to join these."""
     rooted = met.select("band", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sized = rooted.groupBy("band").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     member = settle(rooted.join(sized.select("band", "blocks"), "band"))
     tasks = 1 + (member.agg(F.sum("blocks")).first()[0] or 0) // TASK_ROWS
-    placed = _dealt(member.join(known.select("node", "size", "bins"), "node"), "band").withColumn("task", F.pmod(F.xxhash64("band", "i", "j"), F.lit(tasks)))
-    return placed.groupBy("task").applyInArrow(_between(percent), "node long, other long").distinct()
+    placed = dealt(member.join(known.select("node", "size", "bins"), "node"), "band").withColumn("task", F.pmod(F.xxhash64("band", "i", "j"), F.lit(tasks)))
+    return placed.groupBy("task").applyInArrow(_between(percent), EDGES).distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -407,12 +326,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, text: str
     sized = own_set.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(of_bytes / BLOCK_BYTES)).cast("int").alias("blocks"))
     member = own_set.join(sized, "component")
     tasks = 1 + (member.agg(F.sum(8 * F.col("size") * F.col("blocks"))).first()[0] or 0) // TASK_BYTES
-    dealt = _dealt(member.select("component", "node", "blocks"), "component").withColumn("task", F.pmod(F.xxhash64("component", "i", "j"), F.lit(tasks)))
+    placed = dealt(member.select("component", "node", "blocks"), "component").withColumn("task", F.pmod(F.xxhash64("component", "i", "j"), F.lit(tasks)))
     holder = own_set.select("node", F.col("holder.doc_id").alias("held_id"), F.col("holder.content").alias("held"))
     met_text = own.join(holder, own["doc_id"].eqNullSafe(holder["held_id"]) & (F.xxhash64(own["text"]) == holder["held"]))
     sets = met_text.select("node", "text").dropDuplicates(["node"]).mapInArrow(_sets(n), "node long, set binary")
-    links = dealt.join(sets, "node").select("component", "i", "j", "task", "node", "set").groupBy("task").applyInArrow(_verify(percent), "a long, b long")
-    found = components(links, "a", "b")
+    links = placed.join(sets, "node").select("component", "i", "j", "second", "task", "node", "set").groupBy("task").applyInArrow(_verify(percent), EDGES)
+    found = components(links, "node", "other")
     rooted = rows.drop("bins", "content").join(found.withColumnRenamed("component", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("least_id"))
     out = rooted.join(least, "root")

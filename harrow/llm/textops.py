@@ -6,7 +6,7 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrow.session import shared_folder
@@ -56,3 +56,11 @@ def settle(df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(os.path.join(shared_folder(spark), "harrow"))
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver drop what no query refers to any more, so that the shuffle files behind settled tables go.
+
+    The scheduler still refers to the last job, so those of the jobs before it go.
+    """
+    spark.sparkContext._jvm.java.lang.System.gc()

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -40,3 +41,57 @@ def test_near_duplicates_leave_one(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     kept = {r["doc_id"] for r in corpus_pipeline.keep_one_of_each(spark, docs, folder).collect()}
     assert 0 in kept and 200 not in kept and set(range(80)) <= kept
+
+
+def test_documents_that_lose_all_lines_go(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    whole = docs.unionByName(docs.filter("doc_id < 3").withColumn("doc_id", docs["doc_id"] + 500))
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_lines(spark, whole, folder).collect()}
+    assert {500, 501, 502, 200}.isdisjoint(kept) and set(range(80)) <= set(kept)
+    assert 204 in kept  # it had no line to lose
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert min(r["n_tokens"] for r in packed) > 1
+
+
+def test_crowded_near_duplicates_leave_one(spark, folder):
+    """Families of variants that quote long passages of one another."""
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(2, 7)))
+    passage = [word() for _ in range(120)]
+    rows, family = [], {}
+    for f in range(12):
+        base = passage + [word() for _ in range(100)]
+        for v in range(25):
+            w = base.copy()
+            for _ in range(rng.randint(0, 3)):
+                w[rng.randrange(len(w))] = word()
+            family[len(rows)] = f
+            rows.append((len(rows), " ".join(w), "en", "s", 1))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split(" ") for _, t, *_ in rows)]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in parent[:]:
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+    expected = {find(a) for a in range(len(rows))}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    assert {r["doc_id"] for r in corpus_pipeline.keep_one_of_each(spark, docs, folder).collect()} == expected
+    assert 12 <= len(expected) < 100
+
+
+def test_empty_documents_and_null_ids(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    bench = spark.read.parquet(f"{folder}/benchmark.parquet")
+    for name, rows in (("none", docs.limit(0)), ("null", docs.filter("doc_id < 20").withColumn("doc_id", F.lit(None).cast("long")))):
+        at = f"{tmp_path}/{name}"
+        rows.write.parquet(f"{at}/documents.parquet")
+        bench.write.parquet(f"{at}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+    got = corpus_pipeline.run(spark, f"{tmp_path}/null").collect()
+    assert {r["doc_id"] for r in got} == {None}
