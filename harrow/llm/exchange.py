@@ -54,10 +54,11 @@ def n_blocks(total: int, size: int | None = None, least: int = 2 << 20) -> int:
     return max(1, math.ceil(total / (size or min(max(total // 4000, least), 64 << 20))))
 
 
-def in_blocks(docs: DataFrame, blocks: int, text: str, doc_id: str, **more: Column) -> DataFrame:
-    """id, text, block and ``more`` of every row; rows with one id share a block."""
+def in_blocks(docs: DataFrame, blocks: int, text: str, doc_id: str, together: bool = True, **more: Column) -> DataFrame:
+    """id, text, block and ``more`` of every row; ``together``: rows with one id (or none) share a block, else the text deals them too."""
     own = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), *[c.alias(n) for n, c in more.items()])
-    return own.withColumn("block", F.pmod(F.xxhash64(F.coalesce("id", F.lit(NULL_ID))), F.lit(blocks)))
+    key = [F.coalesce("id", F.lit(NULL_ID))] + ([] if together else [F.col("text")])
+    return own.withColumn("block", F.pmod(F.xxhash64(*key), F.lit(blocks)))
 
 
 def block_rows(table: pa.Table) -> tuple[np.ndarray, list[bytes], list[int]]:

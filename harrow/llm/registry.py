@@ -64,8 +64,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(_table(spark, sf_dir, "documents"))
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8 that do not depend on estimated accuracies."""
+    return op8_quality_rules(spark, sf_dir).drop("kept", "p_good")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_suffix_array_dedup, op3_benchmark_decontamination, op4_ngram_jaccard_join, op5_license_scans, op6_quality_classifier, op7_substring_dedup, op8_quality_rules, op9_lm_scoring, op10_packing)}
+    return {f.__name__: f for f in (quality_base_counts, op1_line_dedup, op2_suffix_array_dedup, op3_benchmark_decontamination, op4_ngram_jaccard_join, op5_license_scans, op6_quality_classifier, op7_substring_dedup, op8_quality_rules, op9_lm_scoring, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

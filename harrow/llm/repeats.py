@@ -376,7 +376,8 @@ def cut_repeats(
     but 2 MB at least and 64 MB at most.
     """
     blocks = n_blocks(doc_bytes(docs, text) if total is None else total, block_bytes)
-    own = in_blocks(docs, blocks, text, doc_id)
+    # Places of one document are compared inside its block; documents are compared by id wherever they are.
+    own = in_blocks(docs, blocks, text, doc_id, together=kind.by_place)
     told = own.groupBy("block").applyInArrow(_parse(kind, blocks), SENT)
     answers = told.groupBy("to").applyInArrow(_resolve, SENT)
     shipped = own.groupBy("block").cogroup(answers.groupBy("to")).applyInArrow(_ship(kind, blocks), SENT)
