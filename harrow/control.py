@@ -195,7 +195,13 @@ class Crawl:
     def search_round(self) -> int:
         """Fetch the next page of every shard that has one; the number fetched."""
         pages = self.store.table("search_pages")
-        nxt = [r for r in state.next_pages(pages, self.limits.max_attempts).orderBy("search_key").collect() if r["search_key"] not in self._ended and ((last := self._last_page(r["search_key"])) is None or r["page"] <= last)][: self.limits.batch]
+        waiting = state.next_pages(pages, self.limits.max_attempts)
+        if self._ended:
+            waiting = waiting.join(self.spark.createDataFrame([(k,) for k in self._ended], "search_key string"), "search_key", "left_anti")
+        known = [(k, last) for k in self._limits_of if (last := self._last_page(k)) is not None]
+        waiting = waiting.join(self.spark.createDataFrame(known, "search_key string, last long"), "search_key", "left")
+        others = F.lit(self._last_page("")).cast("long")
+        nxt = waiting.filter(F.coalesce(F.col("page") <= F.coalesce("last", others), F.lit(True))).orderBy("search_key").limit(self.limits.batch).collect()
         if not nxt:
             return 0
         now = F.lit(int(time.time()))
@@ -275,9 +281,7 @@ class Crawl:
         for what, change in (("failed", state.fail), ("defer", state.defer)):
             table = change(table, is_(what), F.col("error"), now, F.col("http"))
         table = state.mark_missing(table, is_("missing"), F.col("error"), now)
-        saved = answers.filter("json is not null").select("id", "json", "fetched_at", F.lit(1).alias("seq"))
-        records = state.latest(self.store.table("records").withColumn("seq", F.lit(0)).unionByName(saved), "id", "seq").drop("seq")
-        self.store.commit({"items": table.select(*items.columns), "records": records})
+        self.store.commit({"items": table.select(*items.columns)}, {"records": answers.filter("json is not null").select("id", "json", "fetched_at")})
         self._drop(at)
         self._pause()
         return len(rows)
