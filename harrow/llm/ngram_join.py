@@ -17,10 +17,11 @@ Sets with equal content have one hash and are one node from the start.  Signatur
 go to shards by hash, packed; a shard lists the groups of nodes that share one,
 groups of the same nodes once.
 
-Candidates.  A set's *bins* count its elements in ``BINS`` classes of their hash.
-The bins of two sets differ by no more than the sets do, so a pair whose bins or
-sizes differ by more than a link allows is no link; this rules out nearly all that
-met by chance, and nothing else.
+Candidates.  A set's *bins* count its elements by class of their hash, in classes
+enough for ``IN_BIN`` elements each; of two sets with unlike numbers of classes, a
+power of two, the finer one's are added up.  Bins differ by no more than the sets
+do, so a pair whose bins or sizes differ by more than a link allows is no link; this
+rules out nearly all that met by chance, and nothing else.
 
 Candidate clusters.  Two nodes are *alike* when they share a group and bins and
 sizes allow a link.  Clusters are the components of that relation, so linked nodes
@@ -62,7 +63,7 @@ from harrow.llm.exchange import n_blocks, pack, unpack
 from harrow.llm.graph import components
 from harrow.llm.textops import doc_bytes, settle, written
 
-MEMBERS, BLOCK_BYTES, BINS = 1024, 16 << 20, 64
+MEMBERS, BLOCK_BYTES, BINS, IN_BIN = 1024, 16 << 20, 64, 8
 #: Rows and bytes of sets that a task of many small groups is dealt.
 TASK_ROWS, TASK_BYTES = 50_000, 16 << 20
 _PART = U64(0xC2B2AE3D27D4EB4F)
@@ -158,17 +159,56 @@ def set_hash(s: Sets) -> np.ndarray:
     return mix(_sum64(row, mix(s.element ^ U64(0xA5A5A5A5)), len(s.size)) + s.size.astype(U64)).view(np.int64)
 
 
-def bins_of(s: Sets) -> np.ndarray:
+def bins_of(s: Sets) -> list[bytes]:
     """Elements of each set by class of their hash, 255 at most."""
-    row = np.repeat(np.arange(len(s.size)), s.size)
-    count = np.bincount(row * BINS + (mix(s.element + U64(3)) % U64(BINS)).astype(np.int64), minlength=len(s.size) * BINS)
-    return np.minimum(count, 255).astype(np.uint8).reshape(-1, BINS)
+    size = s.size
+    width = BINS << np.ceil(np.log2(np.maximum(size / (BINS * IN_BIN), 1))).astype(np.int64)
+    at = np.r_[0, np.cumsum(width)]
+    row = np.repeat(np.arange(len(size)), size)
+    place = at[row] + (mix(s.element + U64(3)) & (width[row] - 1).astype(U64)).astype(np.int64)
+    count = np.minimum(np.bincount(place, minlength=int(at[-1])), 255).astype(np.uint8)
+    return [count[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def _folded(rows: np.ndarray, width: int) -> np.ndarray:
+    """Bins in fewer classes; the class of a hash is its low bits."""
+    return rows.reshape(*rows.shape[:-1], -1, width).sum(-2, dtype=np.int32) if rows.shape[-1] > width else rows.astype(np.int32)
 
 
-def _fixed(rows: np.ndarray) -> pa.Array:
-    """Rows of bytes as binary values."""
-    n, width = rows.shape
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
+@dataclass
+class Bins:
+    """Bins of some rows, those of one width together."""
+
+    width: np.ndarray
+    place: np.ndarray
+    rows: dict[int, np.ndarray]
+
+    @staticmethod
+    def of(column: pa.Array | pa.ChunkedArray) -> Bins:
+        held = column.to_pylist()
+        width = np.array([len(x) for x in held], np.int64)
+        place = np.zeros(len(held), np.int64)
+        rows = {}
+        for w in np.unique(width).tolist():
+            mine = np.flatnonzero(width == w)
+            place[mine] = np.arange(len(mine))
+            rows[w] = np.frombuffer(b"".join([held[i] for i in mine]), np.uint8).reshape(-1, w)
+        return Bins(width, place, rows)
+
+    def apart(self, mine: np.ndarray, other: Bins, its: np.ndarray) -> np.ndarray:
+        """How much the bins of rows differ from those of other rows, one by one (``its`` may be a single row)."""
+        its = np.broadcast_to(its, mine.shape)
+        out = np.zeros(len(mine), np.int64)
+        kinds = self.width[mine] * (1 << 32) + other.width[its]
+        for k in np.unique(kinds).tolist():
+            a, b = divmod(k, 1 << 32)
+            some = np.flatnonzero(kinds == k)
+            step = max(1, (1 << 22) // max(a, b))
+            for c in range(0, len(some), step):
+                part = some[c : c + step]
+                x, y = (_folded(bins.rows[w][bins.place[at]], min(a, b)) for bins, w, at in ((self, a, mine[part]), (other, b, its[part])))
+                out[part] = np.abs(x - y).sum(1)
+        return out
 
 
 def _described(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -179,7 +219,7 @@ def _described(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             for first, texts in chunks(batch, "text"):
                 s = sets_of(texts, n)
                 same = [batch.column(c).slice(first, len(texts)) for c in ("doc_id", "content")]
-                yield pa.record_batch([*same, pa.array(s.size.astype(np.int64)), pa.array(set_hash(s)), _fixed(bins_of(s))], names=["doc_id", "content", "n_shingles", "node", "bins"])
+                yield pa.record_batch([*same, pa.array(s.size.astype(np.int64)), pa.array(set_hash(s)), pa.array(bins_of(s), pa.binary())], names=["doc_id", "content", "n_shingles", "node", "bins"])
 
     return run
 
@@ -240,35 +280,36 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"band": band[of], "node": node[at], "first": node[at - nth]})
 
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How much bins differ, row by row or by broadcasting."""
-    return np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(-1, dtype=np.int32)
-
-
 def _may_link(apart: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return ((100 + percent) * apart <= (100 - percent) * (a + b)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
 
 
-def _bins(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
-
-
 def _like(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Pairs whose sizes and bins allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = _may_link(_apart(_bins(batch.column("bins")), _bins(batch.column("its"))), batch.column("size").to_numpy(), batch.column("of_size").to_numpy(), percent)
+            each = np.arange(batch.num_rows)
+            apart = Bins.of(batch.column("bins")).apart(each, Bins.of(batch.column("its")), each)
+            ok = _may_link(apart, batch.column("size").to_numpy(), batch.column("of_size").to_numpy(), percent)
             yield batch.select(["node", "other"]).filter(pa.array(ok))
 
     return run
 
 
 def _between(percent: int) -> Callable[[pa.Table], pa.Table]:
-    def alike(bins: np.ndarray, size: np.ndarray, own_bins: np.ndarray, own_size: np.ndarray) -> np.ndarray:
-        return _may_link(_apart(bins, own_bins), size, own_size, percent)
+    def run(table: pa.Table) -> pa.Table:
+        bins = Bins.of(table.column("bins"))
 
-    return lambda table: joining_edges(table, "band", [_bins(table.column("bins")), table.column("size").to_numpy()], alike)
+        def alike(row: np.ndarray, size: np.ndarray, own_row: np.int64, own_size: np.int64) -> np.ndarray:
+            near = np.flatnonzero(100 * np.minimum(size, own_size) >= percent * np.maximum(size, own_size))
+            ok = np.zeros(len(row), bool)
+            ok[near] = _may_link(bins.apart(row[near], bins, np.asarray(own_row)), size[near], own_size, percent)
+            return ok
+
+        return joining_edges(table, "band", [np.arange(table.num_rows), table.column("size").to_numpy()], alike)
+
+    return run
 
 
 def _verify(percent: int) -> Callable[[pa.Table], pa.Table]:

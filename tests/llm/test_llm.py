@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +176,23 @@ def test_ngram_join(docs, rows, n, percent, monkeypatch):
     assert ordered((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected
 
 
+def test_bins_differ_by_no_more_than_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n = int(10 ** rng.uniform(0, 4))
+        both = rng.integers(0, 1 << 63, n + int(rng.integers(0, n + 2)), np.uint64)
+        sets = [np.unique(both[: n]), np.unique(both[int(rng.integers(0, n)) :])]
+        joined = ngram_join.Sets(np.concatenate(sets), np.r_[0, np.cumsum([len(x) for x in sets])])
+        bins = ngram_join.Bins.of(pa.array(ngram_join.bins_of(joined), pa.binary()))
+        apart = bins.apart(np.array([0, 1]), bins, np.asarray(1))
+        assert apart[0] <= len(np.setxor1d(*sets)) and apart[1] == 0
+    # unrelated sets of any size are told apart
+    for n in (40, 1_000, 20_000, 100_000):
+        element = rng.integers(0, 1 << 63, 2 * n, np.uint64)
+        bins = ngram_join.Bins.of(pa.array(ngram_join.bins_of(ngram_join.Sets(element, np.array([0, n, 2 * n]))), pa.binary()))
+        assert not ngram_join._may_link(bins.apart(np.array([0]), bins, np.array([1])), np.array([n]), np.array([n]), 80)[0]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     rng = random.Random(1)
