@@ -518,6 +518,27 @@ def card_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.card_rows(relation(spark, sf_dir, "d_records"))
 
 
+@_query(
+    """select id, 'T ' || fetched_at as title, case when fetched_at % 3 = 0 then null else 'A' || (fetched_at % 7) end as author, cast(1900 + fetched_at % 90 as string) as year, id || ' cited' as cited,
+      'about ' || id as description, 't' || (fetched_at % 5) as topic, 'https://cards.test/f/' || id || '.pdf' as pdf, 'Город' as place, 'https://cards.test/p?n=' || (fetched_at % 4) as place_link, 2 as details,
+      'T ' || fetched_at as og_title from d_records"""
+)
+def card_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards with every part that the parser reads, made of the pages' keys; a third name no author."""
+    row = lambda label, inner: f"""'<div class="cards-table__row"><div class="cards-table__left">{label}</div><div class="cards-table__right">', {inner}, '</div></div>'"""
+    place = """concat('<a href="/p?n=', fetched_at % 4, '">Город</a>')"""
+    html = f"""concat('<html><head><meta property="og:title" content="T ', fetched_at, '"><meta property="book:release_date" content="', 1900 + fetched_at % 90, '"><meta name="description" content="about ', id, '"></head><body>',
+      case when fetched_at % 3 = 0 then '' else concat('<i itemprop="author">A', fetched_at % 7, '</i>') end, '<p id="toClipBoard">', id, ' cited</p><div class="cards-section"><h2>Детальная информация</h2><div class="cards-table">',
+      {row("Тематика", "concat('t', fetched_at % 5)")}, {row("Место издания", place)}, '</div></div><a href="/f/', id, '.pdf">PDF</a></body></html>')"""
+    pages = relation(spark, sf_dir, "d_records").select("id", F.expr(html).alias("html"), F.lit("https://cards.test/record/").alias("url"))
+    at = lambda column: F.get(column, F.lit(0))
+    return extract.card_rows(pages).select(
+        "id", "title", at("authors").alias("author"), "year", F.col("bibliographic_description").alias("cited"), "description", at("topics").alias("topic"), at("pdf_links").alias("pdf"),
+        at(F.col("detail_map")["Место издания"]).alias("place"), at(F.get(F.filter("detail", lambda d: d["label"] == "Место издания"), F.lit(0))["links"])["href"].alias("place_link"), F.size("detail").alias("details"),
+        F.col("og")["title"].alias("og_title"),
+    )
+
+
 @_query("""select id, trim(regexp_replace(replace(replace(replace(replace(raw_title, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\\s+', ' ', 'g')) as title from d_records""")
 def card_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles of pages without meta tags and h1: the text of the title element."""
