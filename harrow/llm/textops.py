@@ -46,7 +46,7 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table of its own in the shared folder: narrower than a checkpoint, and columns are read one by one."""
     spark = df.sparkSession
     path = os.path.join(shared_folder(spark), "harrow", f"table-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
