@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from harrow.llm import (
     arrays,
+    clusters,
     decontamination,
     graph,
     license_scan,
@@ -293,6 +294,49 @@ def test_lines_that_share_a_band_all_meet(spark, monkeypatch):
     assert same(roots.get) == same(find)
 
 
+def test_comparisons_do_not_grow_with_the_square_of_a_chain(spark, monkeypatch):
+    """Lines that each overlap the next one, so that bands are small and one cluster holds them all."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(700)]
+    texts = [" ".join(words[k : k + 60]) for k in range(0, 640, 4)]
+    compared, dealt = [], line_dedup.dealt
+
+    def counted(member, key):
+        placed = dealt(member, key)
+        if "line" in member.columns:
+            compared.append(placed.groupBy(key, "i", "j").count().select(F.sum(F.col("count") * F.col("count"))).first()[0])
+        return placed
+
+    monkeypatch.setattr(line_dedup, "dealt", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    whole = {r.node: r.component for r in line_dedup.similar_lines(docs)[0].collect()}
+    monkeypatch.setattr(line_dedup, "MEMBERS", 8)
+    assert {r.node: r.component for r in line_dedup.similar_lines(docs)[0].collect()} == whole
+    assert len(set(whole.values())) == 1 and len(whole) == len(texts)
+    assert compared[0] == len(texts) ** 2 and compared[1] < compared[0] / 2
+
+
+def test_forest_connects_what_is_similar():
+    rng = np.random.default_rng(9)
+    for m in (2, 3, 4, 5, 40, 120):
+        seeds = [rng.integers(0, 1 << 40, 90) for _ in range(3)]
+        sets = [np.unique(np.r_[seeds[k % 3][: int(rng.integers(60, 91))], rng.integers(0, 1 << 40, int(rng.integers(0, 25)))]).astype(np.uint64) for k in range(m)]
+        nodes = rng.permutation(1000)[:m]
+        linked = np.array([[a is not b and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for b in sets] for a in sets])
+        parts = lambda edges: {frozenset(np.flatnonzero(c == k).tolist()) for c in [_labels(m, edges)] for k in set(c)}
+        place = {n: i for i, n in enumerate(nodes.tolist())}
+        got = [(place[a], place[b]) for a, b in clusters.forest(sets, nodes, 80)]
+        assert len(got) == m - len(parts(got)) and all(linked[a, b] for a, b in got)
+        assert parts(got) == parts(np.argwhere(linked).tolist())
+
+
+def _labels(m, edges):
+    of = np.arange(m)
+    for a, b in edges:
+        of[of == of[a]] = of[b]
+    return of
+
+
 def test_similar_lines_share_a_band(spark):
     rng = random.Random(12)
     pairs = []
