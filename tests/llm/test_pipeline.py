@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from harrow.llm import line_dedup
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +96,23 @@ def test_empty_documents_and_null_ids(spark, folder, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
     got = corpus_pipeline.run(spark, f"{tmp_path}/null").collect()
     assert {r["doc_id"] for r in got} == {None}
+
+
+def test_line_stage_compares_a_chain_by_band(spark, folder, monkeypatch):
+    """Lines that each overlap the next one: one cluster, whose pairs are not all compared."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(400)]
+    texts = [" ".join(words[k : k + 60]) for k in range(0, 320, 4)]
+    compared, dealt = [], line_dedup.dealt
+
+    def counted(member, key):
+        placed = dealt(member, key)
+        if "line" in member.columns:
+            compared.append(placed.groupBy(key, "i", "j").count().select(F.sum(F.col("count") * F.col("count"))).first()[0])
+        return placed
+
+    monkeypatch.setattr(line_dedup, "dealt", counted)
+    monkeypatch.setattr(line_dedup, "MEMBERS", 8)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.cut_lines(spark, docs, folder).collect()] == [0]
+    assert compared[0] < len(texts) ** 2  # all pairs of the chain
