@@ -5,6 +5,7 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -604,6 +605,25 @@ def test_token_vectors_learn_what_follows_what():
             assert np.abs(found[c, a:b] - counts[c, a:b] / counts[c, a:b].sum()).max() < 0.12
 
 
+def test_training_takes_little_memory_beside_its_tables():
+    rng = np.random.default_rng(4)
+    counts = np.zeros((lm_scoring.CONTEXTS, 32 * 1500), np.int64)
+    counts.ravel()[rng.integers(0, counts.size, 20_000)] = 1
+    ends = np.arange(1, 33) * 1500
+    trigrams = rng.integers(0, 2, (lm_scoring.CONTEXTS**2, lm_scoring.CLASSES))
+    tracemalloc.start()
+    words = lm_scoring.train_words(counts, ends, steps=1)
+    of_words = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    table = lm_scoring.train(trigrams, rounds=1)
+    of_classes = tracemalloc.get_traced_memory()[1] - words.nbytes
+    tracemalloc.stop()
+    assert of_words < 3 * words.nbytes and of_classes < 6 * table.nbytes
+    cell = np.flatnonzero(counts)
+    assert (lm_scoring.train_cells(cell, counts.ravel()[cell], ends, 1) == words).all()
+    assert np.allclose(np.add.reduceat(10.0 ** words, np.r_[0, ends[:-1]], axis=1), 1, atol=1e-3)
+
+
 def test_lm_scores_beat_the_base_on_held_out_documents(spark):
     rng = random.Random(31)
     follow = {f"w{k}": [f"w{rng.randrange(400)}" for _ in range(4)] for k in range(400)}
