@@ -338,6 +338,28 @@ def _labels(m, edges):
     return of
 
 
+def test_unrelated_sets_are_not_compared_element_by_element(monkeypatch):
+    rng = np.random.default_rng(3)
+    m, common = 600, np.arange(20)
+    sets = [np.unique(np.r_[common, 20 + rng.integers(0, 6000, 60)]) for _ in range(m)]
+    sets += [np.r_[s[:-3], 10_000 + i] for i, s in enumerate(sets[:9])]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    looked, ranges = [], clusters._ranges
+
+    def counted(begin, end):
+        looked.append(int((end - begin).sum()))
+        return ranges(begin, end)
+
+    monkeypatch.setattr(clusters, "_ranges", counted)
+    others = np.arange(5, len(sets))
+    got = clusters._common(row, column, np.searchsorted(row, np.arange(len(sets) + 1)), others)
+    assert got.tolist() == [[len(np.intersect1d(sets[a], b)) for b in sets] for a in others]
+    # The 20 common elements are not looked up, and the others only where two sets hold them.
+    assert sum(looked) == sum(len(np.intersect1d(sets[a][20:], b)) for a in others for b in sets)
+    assert len(clusters.forest(sets, np.arange(len(sets)), 80)) == 9
+
+
 def test_similar_lines_share_a_band(spark):
     rng = random.Random(12)
     pairs = []
