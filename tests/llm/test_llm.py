@@ -317,6 +317,33 @@ def test_comparisons_do_not_grow_with_the_square_of_a_chain(spark, monkeypatch):
     assert compared[0] == len(texts) ** 2 and compared[1] < compared[0] / 2
 
 
+def test_lines_are_compared_without_python(spark, monkeypatch):
+    """Small and large groups, none of them in Python; lines that maps set apart are not similar."""
+    from pyspark.sql.pandas.group_ops import PandasGroupedOpsMixin
+
+    def fail(*_):
+        raise AssertionError("Python on the executors")
+
+    monkeypatch.setattr(PandasGroupedOpsMixin, "applyInArrow", fail)
+    monkeypatch.setattr(line_dedup, "MEMBERS", 8)
+    texts = phrase_lines()[:80]
+    sets = [line_set(x) for x in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got = {r.node: r.component for r in line_dedup.similar_lines(docs)[0].collect()}
+    rows = spark.createDataFrame(list(enumerate(texts)), "place long, line string").withColumn("node", F.xxhash64("line"))
+    node = {r.place: r.node for r in rows.collect()}
+    maps = {r.node: r for r in line_dedup.mapped(rows.select("node", "line")).collect()}
+    known, linked = bands_of(spark, texts), 0
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        x, y = maps[node[a]], maps[node[b]]
+        apart = sum((x[f"w{k}"] ^ y[f"w{k}"]).bit_count() if x[f"w{k}"] ^ y[f"w{k}"] >= 0 else ((x[f"w{k}"] ^ y[f"w{k}"]) & (1 << 64) - 1).bit_count() for k in range(line_dedup.WORDS))
+        assert apart <= len(sets[a] ^ sets[b]) and x.n == len(sets[a])
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and known[a][2] & known[b][2] and alike(known[a][1], known[b][1]):
+            assert got[node[a]] == got[node[b]]
+            linked += 1
+    assert linked >= 30
+
+
 def test_forest_connects_what_is_similar():
     rng = np.random.default_rng(9)
     for m in (2, 3, 4, 5, 40, 120):
