@@ -93,6 +93,13 @@ def test_card_precedence():
     assert extract.card_metadata("", BASE)["title"] is None
 
 
+@pytest.mark.parametrize(("shown", "title"), [("Plants &amp; herbs&amp", "Plants & herbs&amp"), ("a&ltb &ampx; &#38 &#38;", "a&ltb &ampx; &#38 &"), ("A&B & C", "A&B & C"), ("&amp;lt;", "<"), ("&amp;amp", "&amp")])
+def test_only_complete_references_are_decoded(shown, title):
+    for page in (f"<title>{shown}</title>", f'<meta property="og:title" content="{shown}">', f"<h1>{shown}</h1>"):
+        assert extract.card_metadata(page, BASE)["title"] == title
+    assert extract.facet_values(f'<p data-id="lang" data-value="{shown}"/>', ["lang"]) == {"lang": [title]}
+
+
 def test_ids():
     results = "".join(f"<li><a class='{kind} x' href='/catalog/{key}/{rest}'>-</a></li>" for kind, key, rest in ((ITEM, "q-17", ""), (READ, "q-18", "view?p=2"), (ITEM, "q-17", "#top")))
     assert extract.catalog_ids(f"<ul>{results}</ul><a href='/catalog/shelf'>up</a>") == ["q-17", "q-18"]
