@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 EDGES = "node long, other long"
+#: Pairs of a group that are compared at once: few enough for a processor's cache.
+PAIRS = 1 << 15
 #: Sets that are compared pair by pair.
 FEW = 4
 #: An element of more than one in so many sets is one of many.
@@ -40,33 +42,39 @@ def _edges(found: list[tuple[int, int]]) -> pa.Table:
     return pa.table({"node": pa.array([a for a, _ in found], pa.int64()), "other": pa.array([b for _, b in found], pa.int64())})
 
 
-def joining_edges(table: pa.Table, key: str, columns: list[np.ndarray], alike: Callable[..., np.ndarray]) -> pa.Table:
+def joining_edges(table: pa.Table, key: str, group: Callable[[np.ndarray], Callable[[np.ndarray, np.ndarray], np.ndarray]]) -> pa.Table:
     """Edges that join the components of a group, or of two blocks of one, that alike nodes connect.
 
-    ``alike(*rows, *row)`` tells for the ``columns`` of some nodes and of one node which of the some are alike to it.
+    ``group(rows)`` gives a function that tells which of the pairs asked for, a matrix of some of these rows, by their places, and all of them, are alike.
     """
     order, cuts = groups(table, key)
     node, second = (table.column(c).to_numpy()[order] for c in ("node", "second"))
-    columns = [c[order] for c in columns]
     _, component = np.unique(table.column("component").to_numpy()[order], return_inverse=True)
     root = np.arange(len(order))  # of each component, over all groups of the task
     found: list[tuple[int, int]] = []
     for lo, hi in cuts:
-        label, at = np.unique(root[component[lo:hi]], return_inverse=True)
+        mine = component[lo:hi]
+        label, at = np.unique(root[mine], return_inverse=True)
         if len(label) < 2:
             continue
         # Nodes of the most common component need no comparison with one another.
-        few = lo + np.flatnonzero(at != np.bincount(at).argmax())
+        few = np.flatnonzero(at != np.bincount(at).argmax())
+        alike = group(order[lo:hi])
         blocks = bool(second[hi - 1])
-        for x in few.tolist():
-            y = np.flatnonzero(root[component[lo:hi]] != root[component[x]]) + lo
+        step = max(1, PAIRS // (hi - lo))
+        for c in range(0, len(few), step):
+            some = few[c : c + step]
+            asked = at[some][:, None] != at
             if blocks:
-                y = y[second[y] != second[x]]
-            y = y[alike(*[c[y] for c in columns], *[c[x] for c in columns])]
-            if len(y):
-                _, one = np.unique(root[component[y]], return_index=True)
-                found += [(int(node[x]), int(node[o])) for o in y[one]]
-                root[np.isin(root, root[component[y]])] = root[component[x]]
+                asked &= second[lo:hi][some][:, None] != second[lo:hi]
+            ok = alike(some, asked)
+            for i in np.flatnonzero(ok.any(1)).tolist():
+                x, y = some[i], np.flatnonzero(ok[i])
+                y = y[root[mine[y]] != root[mine[x]]]  # what edges of this task joined is one
+                if len(y):
+                    _, one = np.unique(root[mine[y]], return_index=True)
+                    found += [(int(node[lo + x]), int(node[lo + o])) for o in y[one]]
+                    root[np.isin(root, root[mine[y]])] = root[mine[x]]
     return _edges(found)
 
 

@@ -17,18 +17,18 @@ Sets with equal content have one hash and are one node from the start.  Signatur
 go to shards by hash, packed; a shard lists the groups of nodes that share one,
 groups of the same nodes once.
 
-Candidates.  A set's *bins* count its elements by class of their hash, in classes
-enough for ``IN_BIN`` elements each; of two sets with unlike numbers of classes, a
-power of two, the finer one's are added up.  Bins differ by no more than the sets
-do, so a pair whose bins or sizes differ by more than a link allows is no link; this
-rules out nearly all that met by chance, and nothing else.
+Candidates.  A set's *bins* are bits, at least ``BITS`` for each element; each element
+turns the one of its hash's class.  Of two sets with unlike numbers of bins, a power of
+two, the finer one's are folded.  Bins differ by no more than the sets do, so a pair
+whose bins or sizes differ by more than a link allows is no link; this rules out nearly
+all that met by chance, and nothing else.
 
 Candidate clusters.  Two nodes are *alike* when they share a group and bins and
 sizes allow a link.  Clusters are the components of that relation, so linked nodes
 always lie in one.  They are found in two steps: each node with the first of each of
 its groups; then, in every group whose nodes are still in different components,
-these against one another, in blocks of ``MEMBERS`` dealt among tasks.  A task emits
-no more edges than it has components to join.
+these against one another, in blocks of ``MEMBERS`` dealt among tasks, many rows at
+once.  A task emits no more edges than it has components to join.
 
 Verification is exact, on the sets of hashes of the nodes that are alike to another:
 small clusters go to one task; larger ones are dealt into blocks of at most ``MEMBERS``
@@ -63,7 +63,9 @@ from harrow.llm.exchange import n_blocks, pack, unpack
 from harrow.llm.graph import components
 from harrow.llm.textops import doc_bytes, settle, written
 
-MEMBERS, BLOCK_BYTES, BINS, IN_BIN = 1024, 16 << 20, 64, 8
+MEMBERS, BLOCK_BYTES = 1024, 16 << 20
+#: 64-bit words of the bins of a small set, and bins an element.
+WORDS, BITS = 4, 2
 #: Rows and bytes of sets that a task of many small groups is dealt.
 TASK_ROWS, TASK_BYTES = 50_000, 16 << 20
 _PART = U64(0xC2B2AE3D27D4EB4F)
@@ -160,24 +162,24 @@ def set_hash(s: Sets) -> np.ndarray:
 
 
 def bins_of(s: Sets) -> list[bytes]:
-    """Elements of each set by class of their hash, 255 at most."""
+    """For each class of hashes whether a set has an odd number of elements of it, a bit each."""
     size = s.size
-    width = BINS << np.ceil(np.log2(np.maximum(size / (BINS * IN_BIN), 1))).astype(np.int64)
+    width = 64 * WORDS << np.ceil(np.log2(np.maximum(size * BITS / (64 * WORDS), 1))).astype(np.int64)
     at = np.r_[0, np.cumsum(width)]
     row = np.repeat(np.arange(len(size)), size)
     place = at[row] + (mix(s.element + U64(3)) & (width[row] - 1).astype(U64)).astype(np.int64)
-    count = np.minimum(np.bincount(place, minlength=int(at[-1])), 255).astype(np.uint8)
-    return [count[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    odd = np.packbits((np.bincount(place, minlength=int(at[-1])) & 1).astype(bool), bitorder="little").tobytes()
+    return [odd[a:b] for a, b in zip((at[:-1] // 8).tolist(), (at[1:] // 8).tolist(), strict=True)]
 
 
 def _folded(rows: np.ndarray, width: int) -> np.ndarray:
     """Bins in fewer classes; the class of a hash is its low bits."""
-    return rows.reshape(*rows.shape[:-1], -1, width).sum(-2, dtype=np.int32) if rows.shape[-1] > width else rows.astype(np.int32)
+    return np.bitwise_xor.reduce(rows.reshape(len(rows), -1, width), 1) if rows.shape[1] > width else rows
 
 
 @dataclass
 class Bins:
-    """Bins of some rows, those of one width together."""
+    """Bins of some rows, those of one width (in words) together."""
 
     width: np.ndarray
     place: np.ndarray
@@ -186,13 +188,13 @@ class Bins:
     @staticmethod
     def of(column: pa.Array | pa.ChunkedArray) -> Bins:
         held = column.to_pylist()
-        width = np.array([len(x) for x in held], np.int64)
+        width = np.array([len(x) // 8 for x in held], np.int64)
         place = np.zeros(len(held), np.int64)
         rows = {}
         for w in np.unique(width).tolist():
             mine = np.flatnonzero(width == w)
             place[mine] = np.arange(len(mine))
-            rows[w] = np.frombuffer(b"".join([held[i] for i in mine]), np.uint8).reshape(-1, w)
+            rows[w] = np.frombuffer(b"".join([held[i] for i in mine]), U64).reshape(-1, w)
         return Bins(width, place, rows)
 
     def apart(self, mine: np.ndarray, other: Bins, its: np.ndarray) -> np.ndarray:
@@ -203,11 +205,21 @@ class Bins:
         for k in np.unique(kinds).tolist():
             a, b = divmod(k, 1 << 32)
             some = np.flatnonzero(kinds == k)
-            step = max(1, (1 << 22) // max(a, b))
+            step = max(1, (1 << 20) // max(a, b))
             for c in range(0, len(some), step):
                 part = some[c : c + step]
                 x, y = (_folded(bins.rows[w][bins.place[at]], min(a, b)) for bins, w, at in ((self, a, mine[part]), (other, b, its[part])))
-                out[part] = np.abs(x - y).sum(1)
+                out[part] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+        return out
+
+    def of_group(self, rows: np.ndarray) -> np.ndarray:
+        """The bins of some rows as a matrix, all in as few words as the coarsest has."""
+        width = self.width[rows]
+        least = int(width.min())
+        out = np.empty((len(rows), least), U64)
+        for w in np.unique(width).tolist():
+            some = np.flatnonzero(width == w)
+            out[some] = _folded(self.rows[w][self.place[rows[some]]], least)
         return out
 
 
@@ -299,15 +311,31 @@ def _like(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 def _between(percent: int) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        bins = Bins.of(table.column("bins"))
-
-        def alike(row: np.ndarray, size: np.ndarray, own_row: np.int64, own_size: np.int64) -> np.ndarray:
-            near = np.flatnonzero(100 * np.minimum(size, own_size) >= percent * np.maximum(size, own_size))
-            ok = np.zeros(len(row), bool)
-            ok[near] = _may_link(bins.apart(row[near], bins, np.asarray(own_row)), size[near], own_size, percent)
-            return ok
-
-        return joining_edges(table, "band", [np.arange(table.num_rows), table.column("size").to_numpy()], alike)
+        bins, size = Bins.of(table.column("bins")), table.column("size").to_numpy()
+
+        def group(rows: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+            held, n = bins.of_group(rows), size[rows]
+            # Unrelated sets differ by more than a link allows in the first words already, each of which lies in one run of memory.
+            first = np.ascontiguousarray(held[:, : -(-3 * held.shape[1] // 8)].T)
+            step = max(1, (1 << 18) // held.shape[1])
+
+            def alike(some: np.ndarray, asked: np.ndarray) -> np.ndarray:
+                apart = np.zeros(asked.shape, np.uint16 if len(first) < 1000 else np.int64)
+                differ, count = np.empty(asked.shape, U64), np.empty(asked.shape, np.uint8)
+                for w in first:
+                    np.bitwise_xor(w[some][:, None], w, out=differ)
+                    apart += np.bitwise_count(differ, out=count)
+                x, y = np.nonzero((apart <= (100 - percent) * (n[some] + n.max())[:, None] // (100 + percent)) & asked)
+                ok = np.zeros(asked.shape, bool)
+                for c in range(0, len(x), step):
+                    i, j = x[c : c + step], y[c : c + step]
+                    whole = np.bitwise_count(held[some[i]] ^ held[j]).sum(1, dtype=np.int64)
+                    ok[i, j] = _may_link(whole, n[some[i]], n[j], percent)
+                return ok
+
+            return alike
+
+        return joining_edges(table, "band", group)
 
     return run
 

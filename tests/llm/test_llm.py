@@ -195,6 +195,37 @@ def test_bins_differ_by_no_more_than_sets():
         assert not ngram_join._may_link(bins.apart(np.array([0]), bins, np.array([1])), np.array([n]), np.array([n]), 80)[0]
 
 
+@pytest.mark.parametrize("blocks", [False, True])
+def test_rows_of_a_band_are_compared_at_once(blocks, monkeypatch):
+    """All that bins leave open is joined, and a band of unrelated sets takes a few comparisons of many rows, not one a row."""
+    rng = np.random.default_rng(9)
+    base = [rng.integers(0, 1 << 63, int(rng.integers(100, 180)), np.uint64) for _ in range(300)]
+    sets = [np.unique(np.r_[b[: len(b) - k], rng.integers(0, 1 << 63, k, np.uint64)]) for b in base for k in ((0,) if len(b) % 5 else (0, 2, 4))]
+    bins = ngram_join.bins_of(ngram_join.Sets(np.concatenate(sets), np.r_[0, np.cumsum([len(x) for x in sets])]))
+    n = len(sets)
+    second = np.arange(n) % 2 if blocks else np.zeros(n, np.int64)
+    table = pa.table({"band": np.zeros(n, np.int64), "i": np.zeros(n, np.int64), "j": np.full(n, int(blocks)), "second": second, "node": np.arange(n), "component": np.arange(n), "size": [len(x) for x in sets], "bins": pa.array(bins, pa.binary())})
+    asked = []
+    alike = ngram_join._may_link
+    monkeypatch.setattr(ngram_join, "_may_link", lambda *a: asked.append(1) or alike(*a))
+    got = ngram_join._between(80)(table)
+    assert len(asked) < n / 4
+    root = list(range(n))
+
+    def find(x, root):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in zip(got.column("node").to_pylist(), got.column("other").to_pylist(), strict=True):
+        assert find(a, root) != find(b, root) and second[a] != second[b] or not blocks
+        root[find(a, root)] = find(b, root)
+    for a, b in itertools.combinations(range(n), 2):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and (not blocks or second[a] != second[b]):
+            assert find(a, root) == find(b, root)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     rng = random.Random(1)
