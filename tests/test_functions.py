@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from harrow import session
 from harrow.functions import scalars
-from harrow.operators import extract, flatten, planner, requests
+from harrow.operators import coverage, extract, flatten, planner, requests
 
 BASE = "https://catalog.test/"
 
@@ -176,3 +177,20 @@ def test_streaks_over_spans_and_blocks(spark, monkeypatch):
     errors = {r.seq: (r.transient_streak, r.forbidden_streak) for r in requests.error_streaks(log).collect()}
     good = {r.seq: r.success_streak for r in requests.success_streaks(log).collect()}
     assert [(n, *errors[n], good[n]) for n in seqs] == expected
+
+
+def test_parts_of_a_shuffle_grow_with_its_rows(spark):
+    few, many = (session.spread(spark.range(n), "id") for n in (1_000, 10_000_000))
+    assert few.rdd.getNumPartitions() <= session.LEAST_PARTS
+    assert many.rdd.getNumPartitions() == -(-80_000_000 // session.PART_BYTES)
+
+
+def test_groups_are_counted_by_a_short_key(spark):
+    """The long parameters of a search are in no row of its memberships."""
+    pages = spark.createDataFrame([(f"k{i}", 1, '{"query":"q%d","sort_by":"s%d"}' % (i % 2, i), "done", 1, 3) for i in range(4)], "search_key string, page int, params_json string, status string, result_count int, total_results int")
+    members = spark.createDataFrame([(f"k{i}", 1, f"x{j}") for i in range(4) for j in range(i, i + 2)], "search_key string, page int, id string")
+    found = coverage.group_coverage(coverage.shard_coverage(pages, members), members)
+    assert sorted((r.search_keys, r.unique_items) for r in found.collect()) == [("k0,k2", 4), ("k1,k3", 4)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    counted = [line for line in plan.splitlines() if "AS stored" in line]
+    assert counted and all("group_key" not in line for line in counted)
