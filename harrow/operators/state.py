@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from harrow.session import spread
+
 STATUSES = ("pending", "in_progress", "done", "missing", "failed")
 COUNTED = ("items", "search_pages")
 
@@ -160,7 +162,8 @@ def new_items(items: DataFrame, found: DataFrame) -> DataFrame:
 def backfill_members(members: DataFrame, items: DataFrame) -> DataFrame:
     """Memberships with those that first sightings imply."""
     seen = items.filter(F.col("first_seen_search_key").isNotNull() & F.col("first_seen_page").isNotNull())
-    return members.select("search_key", "page", "id").unionByName(seen.select(F.col("first_seen_search_key").alias("search_key"), F.col("first_seen_page").alias("page"), "id")).dropDuplicates()
+    both = members.select("search_key", "page", "id").unionByName(seen.select(F.col("first_seen_search_key").alias("search_key"), F.col("first_seen_page").alias("page"), "id"))
+    return spread(both, "search_key", "page", "id").dropDuplicates()
 
 
 def replace_members(members: DataFrame, page: DataFrame, found: DataFrame) -> DataFrame:
